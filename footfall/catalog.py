@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from footfall.functions import stats
+from footfall.functions.joins import attach
 from footfall.functions.timeparts import day_period, is_weekend, watch_gap, weekday, weekday_of
 from footfall.ml import folds, scores, trees
 from footfall.ml.encode import label_encode
@@ -84,7 +85,7 @@ def write_feature_table(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def user_labels(spark: SparkSession, sf: str) -> DataFrame:
-    labelled = sample.event_log(spark, sf).join(sample.labels(spark, sf), "user_id")
+    labelled = attach(sample.event_log(spark, sf), sample.labels(spark, sf), "user_id", ["event_id"])
     return users.user_labels(labelled)
 
 
@@ -324,7 +325,8 @@ def _small_table(spark: SparkSession, sf: str) -> DataFrame:
     """A narrow user table for the tree operators: features before the label date, label, fold."""
     log = sample.before_label(sample.event_log(spark, sf))
     table = actions.action_counts(log).join(actions.video_length_launch_stats(log), "user_id")
-    table = table.join(label_encode_favourites(spark, sf).select("user_id", "fav_play_type"), "user_id")
+    favourite = label_encode(items.favourite_type(log).select("user_id", "fav_play_type"), ["fav_play_type"])
+    table = table.join(favourite, "user_id")
     return folds.stratified_folds(table.join(sample.labels(spark, sf), "user_id"), k=FOLDS)
 
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 # A key is hot when it holds more than one in HOT_SHARE of all rows, so there are fewer than
@@ -10,28 +10,34 @@ from pyspark.sql import functions as F
 HOT_SHARE = 10_000
 
 
-def hot_keys(weighted: DataFrame, keys: list[str], weight: str, share: int = HOT_SHARE) -> DataFrame:
-    """Keys whose weight exceeds 1/share of the whole; fewer than `share` by construction."""
-    total = weighted.agg(F.sum(weight).alias("total")).scalar()
-    return weighted.filter(F.col(weight) * share > total).select(*keys)
+def is_hot(weight: str, rows: DataFrame, share: int = HOT_SHARE) -> Column:
+    """Whether a key's weight, a number of rows of `rows`, is more than 1/share of them all."""
+    return F.col(weight) * share > rows.agg(F.count(F.lit(1)).alias("total")).scalar()
+
+
+def hot_keys(rows: DataFrame, key: str, share: int = HOT_SHARE) -> DataFrame:
+    """The hot keys of `rows`; fewer than `share` by construction."""
+    per_key = rows.groupBy(key).agg(F.count(F.lit(1)).alias("_n"))
+    return per_key.filter(is_hot("_n", rows, share)).select(key)
 
 
 def lookup(rows: DataFrame, table: DataFrame, keys: list[str], hot: DataFrame, spread_by: list[str]) -> DataFrame:
     """Left join of `table` (one row per key) onto `rows`.
 
-    Rows with a hot key take their values from a broadcast of the hot part of `table`, one row per
-    hot key, and are spread by `spread_by` in the shuffled join that serves all other keys.
+    `hot` is the part of `table` with the hot keys. Rows with such a key take their values from its
+    broadcast and are spread by `spread_by` in the shuffled join that serves all other keys.
     """
     values = [c for c in table.columns if c not in keys]
-    hot_table = table.join(F.broadcast(hot), keys, "left_semi").select(
-        *keys, *[F.col(v).alias(f"_hot_{v}") for v in values], F.lit(True).alias("_hot")
-    )
-    marked = rows.join(F.broadcast(hot_table), keys, "left").withColumn(
+    hot = hot.select(*keys, *[F.col(v).alias(f"_hot_{v}") for v in values], F.lit(True).alias("_hot"))
+    marked = rows.join(F.broadcast(hot), keys, "left").withColumn(
         "_salt", F.when(F.col("_hot"), F.xxhash64(*spread_by)).otherwise(F.lit(0).cast("long"))
     )
-    cold_table = table.withColumn("_salt", F.lit(0).cast("long"))
-    joined = marked.join(cold_table, [*keys, "_salt"], "left")
-    kept = [c for c in rows.columns if c not in values]
-    return joined.select(
-        *kept, *[F.when(F.col("_hot"), F.col(f"_hot_{v}")).otherwise(F.col(v)).alias(v) for v in values]
-    )
+    joined = marked.join(table.withColumn("_salt", F.lit(0).cast("long")), [*keys, "_salt"], "left")
+    found = [F.when(F.col("_hot"), F.col(f"_hot_{v}")).otherwise(F.col(v)).alias(v) for v in values]
+    return joined.select(*[c for c in rows.columns if c not in values], *found)
+
+
+def attach(rows: DataFrame, table: DataFrame, key: str, spread_by: list[str]) -> DataFrame:
+    """`lookup` for a table whose hot keys are not known: they are counted in `rows`."""
+    hot = table.join(F.broadcast(hot_keys(rows, key)), key, "left_semi")
+    return lookup(rows, table, [key], hot, spread_by)

@@ -14,19 +14,21 @@ STATS = ("count", "var", "mean", "median", "mad", "skew", "kurt", "max")
 
 
 def distribution_stats(
-    counts: DataFrame, keys: list[str], weights: dict[str, str], value: str = "x", wanted=STATS
+    counts: DataFrame, keys: list[str], weights: dict[str, str], value: str = "x", wanted=STATS, carry=()
 ) -> DataFrame:
     """Statistics of `value` per `keys`, each row of `counts` standing for `weight` equal values.
 
     `weights` maps a weight column to a name pattern, e.g. {"n_play": "time_play_{}"}.
     `count` is the number of distinct values, NULL where the weight column has no events at all;
-    a NULL value marks events without a value. Two passes around the mean, one sort by value:
-    both windows and the aggregate share one partitioning by `keys`.
+    a NULL value marks events without a value. Columns in `carry` are passed on as their maximum.
+    Two passes around the mean, one sort by value: both windows and the aggregate share one
+    partitioning by `keys`.
     """
     group = Window.partitionBy(*keys)
     running = group.orderBy("_x").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     base = counts.select(
         *keys,
+        *carry,
         F.col(value).cast("double").alias("_x"),
         *[F.col(w).alias(f"_raw_{w}") for w in weights],
         *[F.when(F.col(value).isNotNull(), F.col(w)).otherwise(0).alias(f"_n_{w}") for w in weights],
@@ -37,9 +39,9 @@ def distribution_stats(
         {f"_total_{w}": F.sum(f"_n_{w}").over(group) for w in weights}
         | {f"_sum_{w}": F.sum(F.col(f"_n_{w}") * F.col("_x")).over(group) for w in weights}
     )
-    aggs = [a for w in weights for a in _sums(w, wanted)]
+    aggs = [a for w in weights for a in _sums(w, wanted)] + [F.max(c).alias(c) for c in carry]
     out = [c for w, name in weights.items() for c in _finish(w, name, wanted)]
-    return base.groupBy(*keys).agg(*aggs).select(*keys, *out)
+    return base.groupBy(*keys).agg(*aggs).select(*keys, *out, *carry)
 
 
 def _sums(w: str, wanted) -> list[Column]:

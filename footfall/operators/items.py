@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from footfall.functions.joins import hot_keys, lookup
+from footfall.functions.joins import is_hot, lookup
 from footfall.operators.profiles import item_counts
 from footfall.schema import DEFAULT, SLICES, EventSpec
 
@@ -93,10 +93,12 @@ def item_totals(events: DataFrame, kinds: dict[str, Column]) -> DataFrame:
     )
 
 
-def with_totals(counts: DataFrame, totals: DataFrame, spec: EventSpec = DEFAULT) -> DataFrame:
+def with_totals(
+    counts: DataFrame, events: DataFrame, kinds: dict[str, Column], spec: EventSpec = DEFAULT
+) -> DataFrame:
     """Attach each item's total. An item everyone meets has a row per user: those rows are spread."""
-    hot = hot_keys(totals, ["kind", "item"], "total")
-    return lookup(counts, totals, ["kind", "item"], hot, [spec.user])
+    totals = item_totals(events, kinds)
+    return lookup(counts, totals, ["kind", "item"], totals.filter(is_hot("total", events)), [spec.user])
 
 
 def popularity_sums(compat: str = "literal") -> list[Column]:
@@ -121,7 +123,7 @@ def item_popularity(events: DataFrame, spec: EventSpec = DEFAULT, compat: str =
     kinds = popularity_kinds(compat)
     counts = item_counts(events, kinds | {"_event": F.lit("")}, spec, ("play",))
     sums = (
-        with_totals(counts, item_totals(events, kinds), spec)
+        with_totals(counts, events, kinds, spec)
         .groupBy(spec.user)
         .agg(*popularity_sums(), F.sum(F.when(F.col("kind") == "_event", F.col("n_play"))).alias("_events"))
     )

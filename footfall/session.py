@@ -12,6 +12,8 @@ SETTINGS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # No call site per expression: the wide tables have thousands of expressions.
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
 
 
@@ -24,6 +26,9 @@ def local_session(cpus: int | str = "*", memory: str = "8g", partitions: int = 8
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.memory", memory)
         .config("spark.sql.shuffle.partitions", str(partitions))
+        # Small data on one machine: keep every core busy, and keep compiled code between runs.
+        .config("spark.sql.adaptive.coalescePartitions.minPartitionSize", "64k")
+        .config("spark.sql.codegen.cache.maxEntries", "1000")
     )
     for key, value in SETTINGS.items():
         builder = builder.config(key, value)

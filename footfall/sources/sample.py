@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from footfall.functions.cleaning import clean_events
-from footfall.functions.joins import hot_keys, lookup
+from footfall.functions.joins import attach
 from footfall.functions.timeparts import decode_timestamp
 
 LABEL_FROM = "2024-01-29"
@@ -51,7 +51,7 @@ def raw_events(spark: SparkSession, sf_dir: str, demographics: bool = False) ->
     """All rows of `events` with the raw columns of an event log.
 
     Demographics cost a join, so only operators that read them ask for it; very active users
-    are spread (see `lookup`).
+    are spread (see `attach`).
     """
     events = table(spark, sf_dir, "events").withColumn(
         "k", F.regexp_extract("props", "([0-9]+)", 1).cast("int")
@@ -62,8 +62,7 @@ def raw_events(spark: SparkSession, sf_dir: str, demographics: bool = False) ->
     customers = table(spark, sf_dir, "customer").selectExpr(
         "c_custkey as user_id", *[f"{e} as {c}" for c, e in DEMOGRAPHICS.items()]
     )
-    per_user = raw.groupBy("user_id").agg(F.count(F.lit(1)).alias("n"))
-    return lookup(raw, customers, ["user_id"], hot_keys(per_user, ["user_id"], "n"), ["event_id"])
+    return attach(raw, customers, "user_id", ["event_id"])
 
 
 def event_log(spark: SparkSession, sf_dir: str, demographics: bool = False) -> DataFrame:
