@@ -26,31 +26,30 @@ def distribution_stats(
     """
     group = Window.partitionBy(*keys)
     running = group.orderBy("_x").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    base = counts.select(
-        *keys,
-        *carry,
-        F.col(value).cast("double").alias("_x"),
-        *[F.col(w).alias(f"_raw_{w}") for w in weights],
-        *[F.when(F.col(value).isNotNull(), F.col(w)).otherwise(0).alias(f"_n_{w}") for w in weights],
-    )
+    base = counts.select(*keys, *carry, F.col(value).cast("double").alias("_x"), *weights)
     if "median" in wanted:
-        base = base.withColumns({f"_upto_{w}": F.sum(f"_n_{w}").over(running) for w in weights})
+        base = base.withColumns({f"_upto_{w}": F.sum(_n(w)).over(running) for w in weights})
     base = base.withColumns(
-        {f"_total_{w}": F.sum(f"_n_{w}").over(group) for w in weights}
-        | {f"_sum_{w}": F.sum(F.col(f"_n_{w}") * F.col("_x")).over(group) for w in weights}
+        {f"_total_{w}": F.sum(_n(w)).over(group) for w in weights}
+        | {f"_sum_{w}": F.sum(_n(w) * F.col("_x")).over(group) for w in weights}
     )
     aggs = [a for w in weights for a in _sums(w, wanted)] + [F.max(c).alias(c) for c in carry]
     out = [c for w, name in weights.items() for c in _finish(w, name, wanted)]
     return base.groupBy(*keys).agg(*aggs).select(*keys, *out, *carry)
 
 
+def _n(w: str) -> Column:
+    """Number of values a row stands for."""
+    return F.when(F.col("_x").isNotNull(), F.col(w)).otherwise(0)
+
+
 def _sums(w: str, wanted) -> list[Column]:
-    x, n, total = F.col("_x"), F.col(f"_n_{w}"), F.col(f"_total_{w}")
+    x, n, total = F.col("_x"), _n(w), F.col(f"_total_{w}")
     mean = F.try_divide(F.col(f"_sum_{w}"), total)
     dev = x - mean
     here = n > 0
     aggs = {
-        "present": F.sum(f"_raw_{w}") > 0,
+        "present": F.sum(w) > 0,
         "n": F.sum(n),
         "mean": F.max(mean),
         "max": F.max(F.when(here, x)),
