@@ -151,9 +151,9 @@ def _join(how: str) -> Query:
     return lambda spark, sf: users.join_user(*_clickers(spark, sf), how=how)
 
 
-def _tag_table(spark: SparkSession, sf: str) -> DataFrame:
+def _tag_table(log: DataFrame) -> DataFrame:
     """A per-user tag table that leaves out users who never share."""
-    shared = sample.event_log(spark, sf).filter(F.col("share") == 1)
+    shared = log.filter(F.col("share") == 1)
     return shared.groupBy("user_id").agg(F.sum(tags.tag_count(F.col("video_tag"))).alias("shared_tags"))
 
 
@@ -163,7 +163,8 @@ def join_labels(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def join_tags(spark: SparkSession, sf: str) -> DataFrame:
-    return users.join_user(actions.slice_counts_by_user(sample.event_log(spark, sf)), _tag_table(spark, sf))
+    log = sample.event_log(spark, sf)
+    return users.join_user(actions.slice_counts_by_user(log), _tag_table(log))
 
 
 def _splits(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
@@ -173,7 +174,7 @@ def _splits(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
 
 
 def union_enrich_split(spark: SparkSession, sf: str) -> DataFrame:
-    both = folds.union_and_tag(*_splits(spark, sf), _tag_table(spark, sf))
+    both = folds.union_and_tag(*_splits(spark, sf), _tag_table(sample.event_log(spark, sf)))
     train, test = folds.split_by_flag(both)
     return train.withColumn("part", F.lit("train")).unionByName(test.withColumn("part", F.lit("test")))
 
@@ -294,10 +295,12 @@ def stratified_folds(spark: SparkSession, sf: str) -> DataFrame:
 
 def _fold_scores(spark: SparkSession, sf: str) -> DataFrame:
     """Per user and fold: the click rate over the events outside the fold."""
-    log = sample.event_log(spark, sf).select("user_id", "event_id", "click")
-    fold = F.explode(F.sequence(F.lit(0), F.lit(FOLDS - 1))).alias("fold")
-    outside = log.select("*", fold).filter(F.col("event_id") % FOLDS != F.col("fold"))
-    return outside.groupBy("user_id", "fold").agg(F.avg("click").alias("score"))
+    log = sample.event_log(spark, sf)
+    outside = [
+        F.struct(F.lit(f).alias("fold"), F.avg(F.when(F.col("event_id") % FOLDS != f, F.col("click"))).alias("score"))
+        for f in range(FOLDS)
+    ]
+    return log.groupBy("user_id").agg(F.array(*outside).alias("folds")).select("user_id", F.inline("folds"))
 
 
 def fold_average(spark: SparkSession, sf: str) -> DataFrame:
@@ -368,7 +371,7 @@ def retention_scores(spark: SparkSession, sf: str) -> DataFrame:
     table = materialise(table, "features")
     train, test = table.filter(F.col("user_id") % 5 != 0), table.filter(F.col("user_id") % 5 == 0)
     _, scored = retention.train_and_score(
-        train, test, sample.labels(spark, sf), _tag_table(spark, sf), settings=SMALL_TREES, folds=(0, 1)
+        train, test, sample.labels(spark, sf), _tag_table(log), settings=SMALL_TREES, folds=(0, 1)
     )
     return scored
 

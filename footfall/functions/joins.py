@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -25,14 +27,18 @@ def lookup(rows: DataFrame, table: DataFrame, keys: list[str], hot: DataFrame, s
     """Left join of `table` (one row per key) onto `rows`.
 
     `hot` is the part of `table` with the hot keys. Rows with such a key take their values from its
-    broadcast and are spread by `spread_by` in the shuffled join that serves all other keys.
+    broadcast; they and rows with a NULL key are spread in the shuffled join that serves all other
+    keys. They are spread by the columns `spread_by` and by input partition, so that even copies of
+    one row do not meet.
     """
     values = [c for c in table.columns if c not in keys]
     hot = hot.select(*keys, *[F.col(v).alias(f"_hot_{v}") for v in values], F.lit(True).alias("_hot"))
-    marked = rows.join(F.broadcast(hot), keys, "left").withColumn(
-        "_salt", F.when(F.col("_hot"), F.xxhash64(*spread_by)).otherwise(F.lit(0).cast("long"))
+    marked = rows.join(F.broadcast(hot), keys, "left")
+    matchless = reduce(lambda a, b: a | b, [F.col(k).isNull() for k in keys], F.col("_hot").isNotNull())
+    salt = F.when(matchless, F.xxhash64(F.spark_partition_id(), *spread_by)).otherwise(F.lit(0).cast("long"))
+    joined = marked.withColumn("_salt", salt).join(
+        table.withColumn("_salt", F.lit(0).cast("long")), [*keys, "_salt"], "left"
     )
-    joined = marked.join(table.withColumn("_salt", F.lit(0).cast("long")), [*keys, "_salt"], "left")
     found = [F.when(F.col("_hot"), F.col(f"_hot_{v}")).otherwise(F.col(v)).alias(v) for v in values]
     return joined.select(*[c for c in rows.columns if c not in values], *found)
 

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from footfall.functions.joins import is_hot, lookup
-from footfall.operators.profiles import item_counts
+from footfall.operators.profiles import item_counts, item_pairs
 from footfall.schema import DEFAULT, SLICES, EventSpec
 
 INTEREST_ITEMS = {"creator": "video_creator", "video": "video_id", "type": "video_type"}
@@ -23,14 +23,14 @@ def popularity_kinds(compat: str = "literal") -> dict[str, Column]:
     out, complete = {}, F.lit(True)
     for col in POPULARITY_ITEMS:
         complete = complete & F.col(col).isNotNull()
-        out[f"pop_{col}"] = F.col(col) if compat == "intended" else F.when(complete, F.col(col))
+        out[col] = F.col(col) if compat == "intended" else F.when(complete, F.col(col))
     return out
 
 
 def _n(kind: str, s: str) -> Column:
     """The user's event count of an item of this kind; NULL unless it occurs in the slice."""
     n = F.col(f"n_{s}")
-    return F.when((F.col("kind") == kind) & (n > 0), n)
+    return F.when((F.col("kind") == kind) & F.col("item").isNotNull() & (n > 0), n)
 
 
 def interest_columns(which=("max", "mean", "count"), slices=INTEREST_SLICES) -> list[Column]:
@@ -52,8 +52,8 @@ def interest_columns(which=("max", "mean", "count"), slices=INTEREST_SLICES) ->
 def repeat_interest(
     events: DataFrame, spec: EventSpec = DEFAULT, which=("max", "mean", "count"), slices=INTEREST_SLICES
 ) -> DataFrame:
-    users = item_counts(events, interest_kinds() | {"_event": F.lit("")}, spec, slices)
-    return users.groupBy(spec.user).agg(*interest_columns(which, slices))
+    counts = item_counts(events, interest_kinds(), spec, slices)
+    return counts.groupBy(spec.user).agg(*interest_columns(which, slices))
 
 
 def favourite_columns(slices=SLICES, compat: str = "literal", kind: str = "type") -> list[Column]:
@@ -78,56 +78,41 @@ def favourite_columns(slices=SLICES, compat: str = "literal", kind: str = "type"
 def favourite_type(
     events: DataFrame, spec: EventSpec = DEFAULT, slices=SLICES, compat: str = "literal"
 ) -> DataFrame:
-    kinds = {"type": F.col("video_type"), "_event": F.lit("")}
-    return item_counts(events, kinds, spec, slices).groupBy(spec.user).agg(*favourite_columns(slices, compat))
+    counts = item_counts(events, {"type": F.col("video_type")}, spec, slices)
+    return counts.groupBy(spec.user).agg(*favourite_columns(slices, compat))
 
 
 def item_totals(events: DataFrame, kinds: dict[str, Column]) -> DataFrame:
     """(kind, item, total): events per item over all users."""
-    pairs = [F.struct(F.lit(k).alias("kind"), c.cast("string").alias("item")) for k, c in kinds.items()]
-    return (
-        events.select(F.inline(F.array(*pairs)))
-        .filter(F.col("item").isNotNull())
-        .groupBy("kind", "item")
-        .agg(F.count(F.lit(1)).alias("total"))
-    )
-
+    pairs = events.select(item_pairs(kinds)).filter(F.col("item").isNotNull())
+    return pairs.groupBy("kind", "item").agg(F.count(F.lit(1)).alias("total"))
 
-def with_totals(
-    counts: DataFrame, events: DataFrame, kinds: dict[str, Column], spec: EventSpec = DEFAULT
-) -> DataFrame:
-    """Attach each item's total. An item everyone meets has a row per user: those rows are spread."""
-    totals = item_totals(events, kinds)
-    return lookup(counts, totals, ["kind", "item"], totals.filter(is_hot("total", events)), [spec.user])
 
+def popularity_sums(events: DataFrame, spec: EventSpec = DEFAULT, compat: str = "literal") -> DataFrame:
+    """<item>_sum: over the user's events, how often each event's item occurs in the whole log.
 
-def popularity_sums(compat: str = "literal") -> list[Column]:
-    n_times_total = F.col("n_play") * F.col("total")
-    return [
-        F.sum(F.when(F.col("kind") == f"pop_{col}", n_times_total)).alias(f"{col}_sum") for col in POPULARITY_ITEMS
-    ]
+    Events look their items' totals up directly. While the totals are small enough to broadcast, no
+    event is shuffled at all; beyond that (kind, item) pairs are, items with very many events apart.
+    """
+    kinds = popularity_kinds(compat)
+    totals = item_totals(events, kinds)
+    pairs = events.select(spec.user, spec.play_stamp, item_pairs(kinds))
+    found = lookup(
+        pairs, totals, ["kind", "item"], totals.filter(is_hot("total", events)), [spec.user, spec.play_stamp]
+    )
+    first = POPULARITY_ITEMS[0]
+    sums = [F.sum(F.when(F.col("kind") == c, F.col("total"))).alias(f"{c}_sum") for c in POPULARITY_ITEMS]
+    users = found.groupBy(spec.user).agg(*sums, F.count_if(F.col("kind") == first).alias("_events"))
+    return users.dropna(subset=[f"{c}_sum" for c in POPULARITY_ITEMS]) if compat == "literal" else users
 
 
 def popularity_ratios(all_events: Column) -> list[Column]:
     return [F.try_divide(F.col(f"{c}_sum"), all_events).alias(f"{c}_ratio") for c in POPULARITY_ITEMS]
 
 
-def complete_popularity(users: DataFrame) -> DataFrame:
-    """Literal semantics drop users without any complete event."""
-    return users.dropna(subset=[f"{c}_sum" for c in POPULARITY_ITEMS])
-
-
 def item_popularity(events: DataFrame, spec: EventSpec = DEFAULT, compat: str = "literal") -> DataFrame:
-    """<item>_sum: over the user's events, how often each event's item occurs in the whole log;
-    <item>_ratio: the same per event. Literal drops users without an event that has all items."""
-    kinds = popularity_kinds(compat)
-    counts = item_counts(events, kinds | {"_event": F.lit("")}, spec, ("play",))
-    sums = (
-        with_totals(counts, events, kinds, spec)
-        .groupBy(spec.user)
-        .agg(*popularity_sums(), F.sum(F.when(F.col("kind") == "_event", F.col("n_play"))).alias("_events"))
-    )
-    out = sums.select(
+    """`popularity_sums` and <item>_ratio, the same per event. Literal drops users without an event
+    that has all items."""
+    return popularity_sums(events, spec, compat).select(
         spec.user, *[f"{c}_sum" for c in POPULARITY_ITEMS], *popularity_ratios(F.col("_events"))
     )
-    return complete_popularity(out) if compat == "literal" else out

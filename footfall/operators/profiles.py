@@ -39,18 +39,23 @@ def minute_runs(events: DataFrame, spec: EventSpec = DEFAULT, slices=SLICES, fir
     return events.groupBy(spec.user, minute).agg(*aggs).withColumn("x", time_of_day(F.col("minute")))
 
 
+def item_pairs(items: dict[str, Column]) -> Column:
+    """One (kind, item) row per kind; the item may be NULL."""
+    return F.inline(
+        F.array(*[F.struct(F.lit(kind).alias("kind"), col.cast("string").alias("item")) for kind, col in items.items()])
+    )
+
+
 def item_counts(
     events: DataFrame, items: dict[str, Column], spec: EventSpec = DEFAULT, slices=SLICES
 ) -> DataFrame:
     """(user, kind, item, n_<slice>...) for all item kinds in one scan and one shuffle.
 
-    Events whose item is NULL do not count for that kind.
+    Events without an item are counted under NULL, so every user has rows.
     """
-    pairs = [F.struct(F.lit(kind).alias("kind"), col.cast("string").alias("item")) for kind, col in items.items()]
     flags = [s for s in slices if s != "play"]
     return (
-        events.select(spec.user, *flags, F.inline(F.array(*pairs)))
-        .filter(F.col("item").isNotNull())
+        events.select(spec.user, *flags, item_pairs(items))
         .groupBy(spec.user, "kind", "item")
         .agg(*slice_counts(spec, slices))
     )

@@ -99,7 +99,8 @@ def test_popularity(events, table):
 
 
 def test_lookup_hot_and_cold(spark):
-    rows = spark.range(1000).select(F.when(F.col("id") % 3 == 0, 0).otherwise(F.col("id") % 40).alias("k"), "id")
+    key = F.when(F.col("id") % 3 == 0, 0).when(F.col("id") % 7 == 0, None).otherwise(F.col("id") % 40)
+    rows = spark.range(1000).select(key.alias("k"), "id")
     table = spark.range(39).select(F.col("id").alias("k"), (F.col("id") * 10).alias("v"))
     plain = rows.join(table, "k", "left").select("k", "id", "v")
     assert [r["k"] for r in hot_keys(rows, "k", share=4).collect()] == [0]
