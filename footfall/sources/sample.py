@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from footfall.functions.cleaning import clean_events
 from footfall.functions.joins import attach
 from footfall.functions.timeparts import decode_timestamp
+from footfall.session import configure
 
 LABEL_FROM = "2024-01-29"
 
@@ -43,8 +44,7 @@ DEMOGRAPHICS = {
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    spark.conf.set("spark.sql.session.timeZone", "UTC")
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return configure(spark).read.parquet(f"{sf_dir}/{name}.parquet")
 
 
 def raw_events(spark: SparkSession, sf_dir: str, demographics: bool = False) -> DataFrame:
@@ -56,7 +56,7 @@ def raw_events(spark: SparkSession, sf_dir: str, demographics: bool = False) ->
     events = table(spark, sf_dir, "events").withColumn(
         "k", F.regexp_extract("props", "([0-9]+)", 1).cast("int")
     )
-    raw = events.selectExpr(*[f"{e} as `{c}`" for c, e in RAW.items()])
+    raw = events.selectExpr(*[c if e == c else f"{e} as `{c}`" for c, e in RAW.items()])
     if not demographics:
         return raw
     customers = table(spark, sf_dir, "customer").selectExpr(

@@ -51,7 +51,7 @@ def test_no_window_over_raw_events(events):
         assert "Aggregate" in text[text.rindex("Window") :]
 
 
-ALL = sorted(set(QUERIES) - {"feature_vector", "gbt_auc", "feature_importance", "importance_refit", "retention_scores"})
+ALL = sorted(set(QUERIES) - {"feature_vector", "gbt_auc", "feature_importance", "importance_refit", "pattern_refit", "retention_scores"})
 
 
 @pytest.mark.parametrize("name", ALL)
