@@ -14,13 +14,20 @@ STATS = ("count", "var", "mean", "median", "mad", "skew", "kurt", "max")
 
 
 def distribution_stats(
-    counts: DataFrame, keys: list[str], weights: dict[str, str], value: str = "x", wanted=STATS, carry=()
+    counts: DataFrame,
+    keys: list[str],
+    weights: dict[str, str],
+    value: str = "x",
+    wanted=STATS,
+    carry=(),
+    repeated: bool = False,
 ) -> DataFrame:
     """Statistics of `value` per `keys`, each row of `counts` standing for `weight` equal values.
 
     `weights` maps a weight column to a name pattern, e.g. {"n_play": "time_play_{}"}.
     `count` is the number of distinct values, NULL where the weight column has no events at all;
     a NULL value marks events without a value. Columns in `carry` are passed on as their maximum.
+    With `repeated` (one weight column, no zero weights) several rows may have the same value.
     Two passes around the mean, one sort by value: both windows and the aggregate share one
     partitioning by `keys`.
     """
@@ -29,11 +36,14 @@ def distribution_stats(
     base = counts.select(*keys, *carry, F.col(value).cast("double").alias("_x"), *weights)
     if "median" in wanted:
         base = base.withColumns({f"_upto_{w}": F.sum(_n(w)).over(running) for w in weights})
+    if repeated:
+        before = F.lag("_x").over(group.orderBy("_x"))
+        base = base.withColumn("_again", before.isNotNull() & (before == F.col("_x")))
     base = base.withColumns(
         {f"_total_{w}": F.sum(_n(w)).over(group) for w in weights}
         | {f"_sum_{w}": F.sum(_n(w) * F.col("_x")).over(group) for w in weights}
     )
-    aggs = [a for w in weights for a in _sums(w, wanted)] + [F.max(c).alias(c) for c in carry]
+    aggs = [a for w in weights for a in _sums(w, wanted, repeated)] + [F.max(c).alias(c) for c in carry]
     out = [c for w, name in weights.items() for c in _finish(w, name, wanted)]
     return base.groupBy(*keys).agg(*aggs).select(*keys, *out, *carry)
 
@@ -43,7 +53,7 @@ def _n(w: str) -> Column:
     return F.when(F.col("_x").isNotNull(), F.col(w)).otherwise(0)
 
 
-def _sums(w: str, wanted) -> list[Column]:
+def _sums(w: str, wanted, repeated: bool) -> list[Column]:
     x, n, total = F.col("_x"), _n(w), F.col(f"_total_{w}")
     mean = F.try_divide(F.col(f"_sum_{w}"), total)
     dev = x - mean
@@ -55,7 +65,7 @@ def _sums(w: str, wanted) -> list[Column]:
         "max": F.max(F.when(here, x)),
     }
     if "count" in wanted:
-        aggs["distinct"] = F.count_if(here)
+        aggs["distinct"] = F.count_if(here & ~F.col("_again") if repeated else here)
     if "median" in wanted:
         upto = F.col(f"_upto_{w}")
         aggs["lower"] = F.min(F.when(here & (upto >= F.floor((total + 1) / 2)), x))

@@ -13,9 +13,6 @@ SETTINGS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
-    # Aggregates of a hundred columns give generated methods too large for the JVM to compile;
-    # above this size the operators run without whole-stage code, two to three times faster.
-    "spark.sql.codegen.hugeMethodLimit": "8000",
 }
 STATIC_SETTINGS = {
     # No call site per expression: the wide tables have thousands of expressions.
