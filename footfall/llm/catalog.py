@@ -2,18 +2,62 @@
 
 from __future__ import annotations
 
+import os
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from footfall.llm.simhash_dedup import near_duplicates
+from footfall.llm import decontaminate, language_id, mixing, simhash_dedup, token_files
 from footfall.llm.text import table
+from footfall.session import scratch_path
+
+
+def tokenizer_path(name: str = "word_bpe_49k.json") -> str:
+    """The public vocabulary files' package is installed on every machine."""
+    import public_tokenizers
+
+    return os.fspath(public_tokenizers.path(name))
+
+
+def token_output(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_rows(table(spark, sf_dir, "documents"))
+
 
+def token_rows(docs: DataFrame) -> DataFrame:
+    """Token files of the documents, in a new folder, read back."""
+    spark = docs.sparkSession
+    path = scratch_path(spark, "token_files")
+    token_files.write_tokens(docs, path, tokenizer_path())
+    return token_files.token_index(spark, path)
 
-def simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = near_duplicates(table(spark, sf_dir, "documents"), shingle=3, distance=3)
+
+def language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = language_id.fit_table(docs, language_id.trained_on())
+    found = language_id.tag(docs, model, ["doc_id"])
+    return found.select("doc_id", language_id.held_out().alias("held_out"), "lang_pred", "score")
+
+
+def near_copies(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = simhash_dedup.near_duplicates(table(spark, sf_dir, "documents"), shingle=3, distance=3)
     return found.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
 
 
+def contamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = decontaminate.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return found.drop("text_key")
+
+
+def mixture(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = mixing.mix(table(spark, sf_dir, "documents"))
+    taken = (F.col("copies") * F.col("size")).alias("taken")
+    return found.select("doc_id", "size", "source_size", "target", taken, "source", "copies")
+
+
 QUERIES = {
-    "op8_simhash_dedup": simhash_dedup,
+    "op2_token_output": token_output,
+    "op7_language_id": language,
+    "op8_simhash_dedup": near_copies,
+    "op9_decontamination": contamination,
+    "op10_mixing": mixture,
 }
