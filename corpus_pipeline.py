@@ -3,19 +3,50 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from footfall.llm import language_id
+from footfall.llm.catalog import token_rows
+from footfall.llm.decontaminate import decontaminated
+from footfall.llm.mixing import mixed
 from footfall.llm.simhash_dedup import deduplicated
 from footfall.llm.text import table
 from footfall.session import materialise
 
 
-def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents with a recognised language: not null, and with at least one letter."""
+    model = language_id.fit_table(docs, language_id.trained_on())
+    tagged = language_id.tag(docs, model, docs.columns)
+    return tagged.filter(F.col("lang_pred") != language_id.NONE).select(*docs.columns)
+
+
+def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near copies."""
     return deduplicated(docs, shingle=3, distance=3)
 
 
+def drop_benchmark_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that hold no benchmark item, in one piece or reordered."""
+    return decontaminated(docs, table(spark, sf_dir, "benchmark"))
+
+
+def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents as often as the mix takes them."""
+    return mixed(docs)
+
+
+def write_token_files(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One row per document of the token files, in the order of their ids."""
+    return token_rows(docs)
+
+
 STAGES = [
-    ("simhash near-dedup", near_copies),
+    ("language id", identify_language),
+    ("simhash near-dedup", drop_near_copies),
+    ("benchmark decontamination", drop_benchmark_passages),
+    ("mixing to target weights", mix_sources),
+    ("token output", write_token_files),
 ]
 
 #: SQL can express neither the classifier nor the fingerprints; tests compare with brute force.
