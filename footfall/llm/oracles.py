@@ -1,3 +1,62 @@
 """DuckDB SQL of the queries that SQL can express on whole tables."""
 
-SQL: dict[str, str] = {}
+from footfall.llm.quality_rules import STOP_WORDS
+
+_STOP = ", ".join(f"'{w}'" for w in STOP_WORDS)
+
+QUALITY = rf"""
+with d as (select row_number() over () as r, doc_id, coalesce(text, '') as t from documents),
+w as (
+  select r, doc_id, t, regexp_extract_all(t, '[^\x20\x09-\x0D]+') as ws,
+         list_filter(string_split(t, chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) as ls
+  from d
+),
+g as (
+  select r, unnest([ws[i] || ' ' || ws[i + 1] || ' ' || ws[i + 2] for i in range(1, len(ws) - 1)]) as g,
+         unnest(range(1, len(ws) - 1)) as i
+  from w
+),
+m as (select r, g, i, count(*) over (partition by r, g) as c from g),
+p as (select r, count(distinct x) as n from (select r, unnest([i, i + 1, i + 2]) as x from m where c > 1) group by r),
+c as (
+  select doc_id, len(ws)::bigint as n_words, coalesce(list_sum([length(x) for x in ws]), 0)::bigint as word_chars,
+         len(regexp_extract_all(t, '[#*$%&|<>]'))::bigint as n_symbols, len(regexp_extract_all(t, '!'))::bigint as n_exclaims,
+         len(list_filter(ws, lambda x: lower(x) in ({_STOP})))::bigint as n_stop_words, len(ls)::bigint as n_lines,
+         (len(ls) - len(list_distinct(ls)))::bigint as n_dup_lines, coalesce(p.n, 0)::bigint as n_repeat_words
+  from w left join p using (r)
+)
+select doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
+       (n_words < 50 or 100 * n_repeat_words > 50 * n_words) as base_failed,
+       case when n_words < 50 or 100 * n_repeat_words > 50 * n_words then false
+            else word_chars / n_words between 2 and 15 and n_symbols / n_words <= 0.3 and n_exclaims / n_words <= 0.5
+                 and n_stop_words / n_words >= 0.02 and n_dup_lines / n_lines <= 0.5 end as kept
+from c
+"""
+
+CHAT = r"""
+with r as (
+  select conv_id, turn, role, text from conversations
+  union all select -7, 0, 'user', '</s>[INST] ok [/INST]' union all select -7, 1, 'assistant', '</s>[INST] ok [/INST]'
+),
+t as (
+  select conv_id, turn, coalesce(role, '') as role, coalesce(text, '') as text,
+         bool_or(regexp_matches(coalesce(role, '') || chr(10) || coalesce(text, ''), '[<\[]\\*(/?s>|/?INST\])'))
+           over (partition by conv_id) as conflict
+  from r
+),
+e as (
+  select *, regexp_replace(text, '([<\[])(\\*)(/?s>|/?INST\])', '\1\\\2\3', 'g') as escaped,
+         replace(replace(role, '%', '%25'), chr(10), '%0A') as line
+  from t
+)
+select conv_id, count(*) as n_turns,
+       sha256(string_agg(role || chr(10) || text || chr(10), '' order by turn nulls first, role, text)) as turns_sha256,
+       sum(case when role = 'assistant' then length(text) else 0 end)::bigint as loss_chars,
+       sha256(coalesce(string_agg(case when role = 'assistant' then text end, '' order by turn nulls first, role, text), '')) as loss_sha256,
+       sum(length('<s>[INST] ') + length(' [/INST]</s>') + 1
+           + length(case when conflict then regexp_replace(line, '([<\[])(\\*)(/?s>|/?INST\])', '\1\\\2\3', 'g') else line end)
+           + length(case when conflict then escaped else text end))::bigint as formatted_chars
+from e group by conv_id
+"""
+
+SQL = {"op4_quality_rules": QUALITY, "op6_chat_format": CHAT}
