@@ -7,7 +7,7 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from footfall.llm import chat_format, decontaminate, language_id, mixing, quality_rules, simhash_dedup, token_files
+from footfall.llm import chat_format, decontaminate, language_id, mixing, quality_rules, secret_scan, simhash_dedup, token_files
 from footfall.llm.text import table
 from footfall.session import scratch_path
 
@@ -31,6 +31,10 @@ def token_rows(docs: DataFrame) -> DataFrame:
     return token_files.token_index(spark, path)
 
 
+def secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secret_scan.digest(secret_scan.scan(table(spark, sf_dir, "documents")))
+
+
 def quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = quality_rules.judged(table(spark, sf_dir, "documents"))
     return found.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
@@ -71,6 +75,7 @@ def mixture(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op2_token_output": token_output,
+    "op3_secret_scan": secrets,
     "op4_quality_rules": quality,
     "op6_chat_format": chat,
     "op7_language_id": language,
