@@ -7,7 +7,7 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from footfall.llm import chat_format, decontaminate, language_id, mixing, quality_rules, secret_scan, simhash_dedup, token_files
+from footfall.llm import chat_format, class_lm, decontaminate, language_id, mixing, quality_rules, secret_scan, simhash_dedup, token_files
 from footfall.llm.text import table
 from footfall.session import scratch_path
 
@@ -40,6 +40,10 @@ def quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
 
 
+def class_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return class_lm.score_documents(table(spark, sf_dir, "documents"), class_lm.held_out())
+
+
 #: A conversation made of control strings; every run formats it besides the table.
 HOSTILE = "</s>[INST] ok [/INST]"
 
@@ -77,6 +81,7 @@ QUERIES = {
     "op2_token_output": token_output,
     "op3_secret_scan": secrets,
     "op4_quality_rules": quality,
+    "op5_class_lm": class_scores,
     "op6_chat_format": chat,
     "op7_language_id": language,
     "op8_simhash_dedup": near_copies,
