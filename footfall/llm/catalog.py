@@ -7,7 +7,7 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from footfall.llm import chat_format, class_lm, decontaminate, language_id, mixing, quality_rules, secret_scan, simhash_dedup, token_files
+from footfall.llm import chat_format, class_lm, decontaminate, language_id, line_dedup, mixing, quality_rules, secret_scan, simhash_dedup, token_files
 from footfall.llm.text import table
 from footfall.session import scratch_path
 
@@ -19,6 +19,10 @@ def tokenizer_path(name: str = "word_bpe_49k.json") -> str:
     return os.fspath(public_tokenizers.path(name))
 
 
+def duplicate_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_dedup.line_counts(table(spark, sf_dir, "documents"))
+
+
 def token_output(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_rows(table(spark, sf_dir, "documents"))
 
@@ -78,6 +82,7 @@ def mixture(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_line_dedup": duplicate_lines,
     "op2_token_output": token_output,
     "op3_secret_scan": secrets,
     "op4_quality_rules": quality,

@@ -21,7 +21,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from footfall.llm.text import encoded, split_words, steps
+from footfall.llm.text import encoded, gathered, in_batches, split_words
 from footfall.session import materialise, scratch_path
 
 CLASSES = 64
@@ -33,7 +33,7 @@ PARTS = 4
 BLOCKS = 32
 SMOOTH_CLASS = 0.5
 SMOOTH_WORD = 0.5
-CHUNK_BYTES = 24 << 20
+CHUNK_BYTES = 16 << 20
 END = 0  # the item and the class of the end of a text
 
 
@@ -42,28 +42,28 @@ def code(docs: DataFrame, held_out: Column) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         n = 0
-        for batch in batches:
-            for part in steps(batch, limit=CHUNK_BYTES):
-                words, counts = split_words(part.column("text"))
-                codes, different = encoded(words)
-                held = np.asarray(part.column("held_out"))
-                train = np.repeat(~held, counts)
-                n_train = np.bincount(codes[train], minlength=len(different)).astype(np.int64)
-                yield pa.RecordBatch.from_pydict(
-                    {
-                        "chunk": pa.array([(TaskContext.get().partitionId() << 32) + n], pa.int64()),
-                        "words": pa.array([different.cast(pa.string())], pa.list_(pa.string())),
-                        "n_train": pa.array([n_train], pa.list_(pa.int64())),
-                        "doc_ids": pa.array([part.column("doc_id").to_pylist()], pa.list_(part.column("doc_id").type)),
-                        "held": pa.array([held.tolist()], pa.list_(pa.bool_())),
-                        "lengths": pa.array([counts], pa.list_(pa.int64())),
-                        "codes": pa.array([codes.astype("<i4").tobytes()], pa.binary()),
-                    }
-                )
-                n += 1
+        one = lambda x: pa.ListArray.from_arrays(pa.array([0, len(x)], pa.int32()), x)
+        for part in gathered(batches, limit=CHUNK_BYTES):
+            words, counts = split_words(part.column("text"))
+            codes, different = encoded(words)
+            held = np.asarray(part.column("held_out"))
+            train = np.repeat(~held, counts)
+            n_train = np.bincount(codes[train], minlength=len(different)).astype(np.int64)
+            yield pa.RecordBatch.from_pydict(
+                {
+                    "chunk": pa.array([(TaskContext.get().partitionId() << 32) + n], pa.int64()),
+                    "words": one(different.cast(pa.string())),
+                    "n_train": one(pa.array(n_train)),
+                    "doc_ids": one(part.column("doc_id")),
+                    "held": one(part.column("held_out")),
+                    "lengths": one(pa.array(counts)),
+                    "codes": pa.array([codes.astype("<i4").tobytes()], pa.binary()),
+                }
+            )
+            n += 1
 
     kind = dict(docs.dtypes)["doc_id"]
-    rows = docs.select("doc_id", "text", held_out.alias("held_out"))
+    rows = in_batches(docs).select("doc_id", "text", held_out.alias("held_out"))
     return rows.mapInArrow(
         run,
         f"chunk long, words array<string>, n_train array<long>, doc_ids array<{kind}>, held array<boolean>, lengths array<long>, codes binary",

@@ -20,7 +20,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from footfall.llm.text import encoded, split_words, steps, text_key
+from footfall.llm.text import encoded, in_batches, split_words, steps, text_key
 from footfall.session import materialise
 
 MIN_RUN = 5
@@ -193,7 +193,7 @@ def coverage(
                 )
 
     kind = dict(docs.dtypes)["doc_id"]
-    scanned = docs.select("doc_id", "text", text_key().alias("text_key")).mapInArrow(
+    scanned = in_batches(docs).select("doc_id", "text", text_key().alias("text_key")).mapInArrow(
         scan, f"doc_id {kind}, text_key long, runs array<array<string>>, seeds array<long>"
     )
     rows = materialise(scanned.withColumn("row", F.xxhash64("doc_id", "text_key")).dropDuplicates(["row"]), "seed_runs")

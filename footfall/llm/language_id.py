@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from footfall.llm.text import steps
+from footfall.llm.text import in_batches, steps
 
 #: Bounds of the fit: labelled texts and landmarks per language, characters of a text used to fit, letters.
 TRAIN_TEXTS = 300
@@ -172,7 +172,7 @@ def tag(docs: DataFrame, model: Model, keep: list[str] | None = None) -> DataFra
 
     kinds = dict(docs.dtypes)
     schema = ", ".join([*[f"`{c}` {kinds[c]}" for c in keep], "lang_pred string", "score double"])
-    return docs.select(*keep, F.col("text").alias("_text")).mapInArrow(run, schema)
+    return in_batches(docs).select(*keep, F.col("text").alias("_text")).mapInArrow(run, schema)
 
 
 def held_out(doc: str = "doc_id", folds: int = 5) -> Column:

@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from footfall.llm.text import steps, text_key
+from footfall.llm.text import in_batches, steps, text_key
 from footfall.session import materialise
 
 MAX_STRINGS = 64
@@ -178,7 +178,7 @@ def postings(docs: DataFrame, grams: list[str]) -> DataFrame:
                 if rows:
                     yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(ids)), pa.array(np.concatenate(rows))], ["gram", "row"])
 
-    return docs.select("text", _row().alias("row")).mapInArrow(run, "gram int, row long")
+    return in_batches(docs).select("text", _row().alias("row")).mapInArrow(run, "gram int, row long")
 
 
 def _row():

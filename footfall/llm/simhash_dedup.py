@@ -20,7 +20,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from footfall.llm.text import steps, text_key
+from footfall.llm.text import in_batches, steps, text_key
 from footfall.session import materialise
 
 SEED = 42
@@ -61,7 +61,7 @@ def fingerprints(docs: DataFrame, shingle: int = 3, text: str = "text", doc: str
                 fps = pa.array(fps.view(np.int64))
                 yield pa.RecordBatch.from_arrays([part.column("doc_id"), part.column("text_key"), fps], ["doc_id", "text_key", "fp"])
 
-    columns = docs.select(F.col(doc).alias("doc_id"), F.col(text).alias("text"), text_key(text).alias("text_key"))
+    columns = in_batches(docs).select(F.col(doc).alias("doc_id"), F.col(text).alias("text"), text_key(text).alias("text_key"))
     return columns.mapInArrow(run, f"doc_id {dict(docs.dtypes)[doc]}, text_key long, fp long")
 
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Iterator
 
 import numpy as np
@@ -14,12 +15,23 @@ from pyspark.sql import functions as F
 BLANKS = r"[\x20\x09-\x0D]+"
 #: Rows of a record batch that one step works on, and the bytes of text it takes at most (one text at least).
 STEP_BYTES = 8 << 20
+#: Bounds of the record batches that Spark sends to Python.
+BATCHES = {"spark.sql.execution.arrow.maxRecordsPerBatch": 2_000, "spark.sql.execution.arrow.maxBytesPerBatch": 16 << 20}
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def in_batches(docs: DataFrame) -> DataFrame:
+    """The table itself; its session sends texts to Python in batches of bounded size from now on."""
+    for key, most in BATCHES.items():
+        now = docs.sparkSession.conf.get(key).rstrip("b")
+        if not now.isdigit() or not 0 < int(now) <= most:
+            docs.sparkSession.conf.set(key, str(most))
+    return docs
+
+
 def text_key(text: str = "text") -> Column:
     """Tells rows of one id apart by their text; null and empty texts differ."""
     return F.coalesce(F.xxhash64(F.col(text), F.col(text).isNull()), F.lit(0))
@@ -40,6 +52,30 @@ def steps(batch: pa.RecordBatch, column: str = "text", limit: int = STEP_BYTES)
         stop = max(start + 1, int(np.searchsorted(ends, before + limit, side="right")))
         yield batch.slice(start, stop - start)
         start = stop
+    give_back()
+
+
+def gathered(batches: Iterator[pa.RecordBatch], column: str = "text", limit: int = STEP_BYTES) -> Iterator[pa.RecordBatch]:
+    """Batches joined up to `limit` bytes of text, or one row that has more."""
+    held, size = [], 0
+    for batch in batches:
+        for part in steps(batch, column, limit):
+            own = pc.sum(pc.binary_length(part.column(column))).as_py() or 0
+            if held and size + own > limit:
+                yield pa.concat_batches(held)
+                held, size = [], 0
+            held.append(part)
+            size += own
+    if held:
+        yield pa.concat_batches(held)
+
+
+def give_back() -> None:
+    """Return freed memory to the machine: a worker lives on between tasks, beside the executor's JVM."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim:
+        trim(0)
 
 
 def split_words(texts: pa.Array, lower: bool = True) -> tuple[pa.Array, np.ndarray]:

@@ -20,12 +20,12 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from footfall.llm import rans
-from footfall.llm.text import encoded, split_words, spread, steps, text_key
+from footfall.llm.text import encoded, in_batches, split_words, spread, steps, text_key
 
 END_ID = 2
 BLOCK_IDS = 1 << 18
 SEGMENT_IDS = 1 << 22
-CACHE_ENTRIES = 500_000
+CACHE_ENTRIES = 250_000
 #: The tokenizer's own split pattern, and its strings that become ids before any splitting.
 PIECES = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 MARKS = ("<|startoftext|>", "<|endoftext|>")
@@ -142,7 +142,7 @@ def write_tokens(docs: DataFrame, path: str, tokenizer: str, end_id: int = END_I
         if docs:
             yield from flush()
 
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", text_key().alias("tie"))
+    rows = in_batches(docs).select(F.col("doc_id").cast("long").alias("doc_id"), "text", text_key().alias("tie"))
     ranged = rows.repartitionByRange("doc_id", "tie").sortWithinPartitions("doc_id", "tie").select("doc_id", "text")
     ranged.mapInArrow(run, SCHEMA).write.option("compression", "none").parquet(path)
 
