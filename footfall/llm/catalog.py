@@ -61,7 +61,7 @@ def chat(spark: SparkSession, sf_dir: str) -> DataFrame:
 def language(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     model = language_id.fit_table(docs, language_id.trained_on())
-    found = language_id.tag(docs, model, ["doc_id"])
+    found = language_id.tag(docs, model, "doc_id").withColumnRenamed("kept", "doc_id")
     return found.select("doc_id", language_id.held_out().alias("held_out"), "lang_pred", "score")
 
 

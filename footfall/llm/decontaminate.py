@@ -14,18 +14,17 @@ from collections import defaultdict
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from footfall.llm.text import encoded, in_batches, split_words, steps, text_key
+from footfall.llm.text import encoded, in_batches, packed, split_words, steps, text_key
 from footfall.session import materialise
 
 MIN_RUN = 5
 COVERAGE = 0.6
-MIN_BITS, MAX_BITS = 20, 27
+MIN_BITS, MAX_BITS = 20, 24
 MULTIPLIER = 0x9E3779B97F4A7C15
 _NOT_WORD = re.compile(r"[\W_]+")
 
@@ -146,10 +145,10 @@ def _bit_set(seeds: DataFrame) -> tuple[np.ndarray, int]:
     bits = int(np.clip(np.ceil(np.log2(max(1, n) * 1024)), MIN_BITS, MAX_BITS))
     at = seeds.select(F.shiftrightunsigned("seed", 64 - bits).alias("bit"))
     words = at.groupBy(F.shiftright("bit", 6).alias("i")).agg(F.expr("bit_or(shiftleft(1L, cast(bit % 64 as int)))").alias("w"))
-    found = words.toPandas()  # at most 2**(MAX_BITS - 6) numbers
     out = np.zeros(1 << (bits - 6), np.int64)
-    out[found["i"].to_numpy(np.int64)] = found["w"].to_numpy(np.int64)
-    return np.unpackbits(out.view(np.uint8), bitorder="little").view(bool), 64 - bits
+    for r in words.collect():  # at most 2**(MAX_BITS - 6) numbers
+        out[r.i] = r.w
+    return out.view(np.uint8), 64 - bits
 
 
 def coverage(
@@ -163,10 +162,10 @@ def coverage(
     spark = docs.sparkSession
     items, seeds = _benchmark(benchmark, k)
     bits, shift = _bit_set(seeds)
-    packed = spark.sparkContext.broadcast(np.packbits(bits))  # 16 MB at most
+    sent = spark.sparkContext.broadcast(bits)  # 2 MB at most
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        passes = np.unpackbits(packed.value).view(bool)
+        passes = np.unpackbits(sent.value, bitorder="little").view(bool)
         for batch in batches:
             for part in steps(batch):
                 codes, text, names, hashes = tokens(part.column("text"))
@@ -208,15 +207,19 @@ def coverage(
         .select("doc_id", "text_key", "item_id", "words", "runs")
     )
 
-    def verify(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            sizes = [len(w) for w in batch["words"]]
-            covered = [tile([list(r) for r in runs], list(words), k) for runs, words in zip(batch["runs"], batch["words"])]
-            out = batch[["doc_id", "text_key", "item_id"]].assign(n_words=sizes, covered=covered)
-            yield out[out["covered"] >= threshold * out["n_words"]]
+            words = batch.column("words").to_pylist()
+            covered = [tile(runs, item, k) for runs, item in zip(batch.column("runs").to_pylist(), words)]
+            take = pa.array([i for i, (c, item) in enumerate(zip(covered, words)) if c >= threshold * len(item)], pa.int64())
+            yield pa.RecordBatch.from_arrays(
+                [*[batch.column(c).take(take) for c in ("doc_id", "text_key", "item_id")],
+                 pa.array([len(w) for w in words], pa.int64()).take(take), pa.array(covered, pa.int64()).take(take)],
+                ["doc_id", "text_key", "item_id", "n_words", "covered"],
+            )
 
     item_kind = dict(benchmark.dtypes)["item_id"]
-    return pairs.mapInPandas(verify, f"doc_id {kind}, text_key long, item_id {item_kind}, n_words long, covered long")
+    return pairs.mapInArrow(verify, f"doc_id {kind}, text_key long, item_id {item_kind}, n_words long, covered long")
 
 
 def contamination(docs: DataFrame, benchmark: DataFrame, k: int = MIN_RUN, threshold: float = COVERAGE) -> DataFrame:
@@ -243,7 +246,7 @@ def contamination(docs: DataFrame, benchmark: DataFrame, k: int = MIN_RUN, thres
 
 def decontaminated(docs: DataFrame, benchmark: DataFrame, k: int = MIN_RUN, threshold: float = COVERAGE) -> DataFrame:
     """The documents of which no item is covered; columns and repeated rows stay."""
-    found = coverage(docs, benchmark, k, threshold).select("doc_id", "text_key").distinct().alias("f")
-    keyed = docs.withColumn("_key", text_key())
-    same = keyed["doc_id"].eqNullSafe(F.col("f.doc_id")) & (keyed["_key"] == F.col("f.text_key"))
-    return keyed.join(found, same, "left_anti").drop("_key")
+    found = coverage(docs, benchmark, k, threshold).select("doc_id", "text_key").distinct()
+    keyed = docs.select(packed(docs).alias("row"), F.col("doc_id").alias("id"), text_key().alias("key"))
+    same = keyed["id"].eqNullSafe(found["doc_id"]) & (keyed["key"] == found["text_key"])
+    return keyed.join(found, same, "left_anti").select("row.*")

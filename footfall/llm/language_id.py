@@ -17,6 +17,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, StringType, StructField, StructType
 
 from footfall.llm.text import in_batches, steps
 
@@ -29,6 +30,7 @@ ORDERS = 3
 RIDGE = 1e-3
 BATCH = 256
 CODE_POINTS = 0x110000
+_TAGS = [StructField("lang_pred", StringType()), StructField("score", DoubleType())]
 NONE = "und"
 BOUNDARY, UNKNOWN = 0, 1
 
@@ -154,25 +156,22 @@ def fit_table(
     return fit([p[2] for p in pairs], [p[0] for p in pairs])
 
 
-def tag(docs: DataFrame, model: Model, keep: list[str] | None = None) -> DataFrame:
-    """Columns `keep` of every row with (lang_pred, score); only `text` is used."""
-    keep = ["doc_id"] if keep is None else keep
-    packed = docs.sparkSession.sparkContext.broadcast(vars(model))
+def tag(docs: DataFrame, model: Model, keep: Column | str = "doc_id") -> DataFrame:
+    """(kept, lang_pred, score) of every row: an expression over its columns, and what its text alone gives."""
+    sent = docs.sparkSession.sparkContext.broadcast(vars(model))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = Model(**packed.value)
+        known = Model(**sent.value)
         for batch in batches:
-            for part in steps(batch, "_text"):
-                texts = [None if t is None else t.decode("utf-8", "replace") for t in part.column("_text").cast(pa.binary()).to_pylist()]
+            for part in steps(batch):
+                texts = [None if t is None else t.decode("utf-8", "replace") for t in part.column("text").cast(pa.binary()).to_pylist()]
                 names, scores = predict(texts, known)
                 yield pa.RecordBatch.from_arrays(
-                    [*[part.column(c) for c in keep], pa.array(names, pa.string()), pa.array(scores)],
-                    [*keep, "lang_pred", "score"],
+                    [part.column("kept"), pa.array(names, pa.string()), pa.array(scores)], ["kept", "lang_pred", "score"]
                 )
 
-    kinds = dict(docs.dtypes)
-    schema = ", ".join([*[f"`{c}` {kinds[c]}" for c in keep], "lang_pred string", "score double"])
-    return in_batches(docs).select(*keep, F.col("text").alias("_text")).mapInArrow(run, schema)
+    rows = in_batches(docs).select((F.col(keep) if isinstance(keep, str) else keep).alias("kept"), "text")
+    return rows.mapInArrow(run, StructType([rows.schema["kept"], *_TAGS]))
 
 
 def held_out(doc: str = "doc_id", folds: int = 5) -> Column:

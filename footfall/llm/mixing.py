@@ -12,12 +12,12 @@ from __future__ import annotations
 import math
 from collections.abc import Iterator
 
-import pandas as pd
+import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from footfall.llm.text import n_words, text_key
+from footfall.llm.text import n_words, packed, text_key
 from footfall.session import materialise
 
 BUCKET_ROWS = 50_000
@@ -53,7 +53,7 @@ def _chance(*parts: object) -> float:
     return xxhash.xxh64_intdigest(repr(parts), SEED) / 2.0**64
 
 
-def settle(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+def settle(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Round rows sorted by (bucket, source) in one pass; the last open row of each stays open."""
     group, held, turn = None, None, 0
 
@@ -63,10 +63,10 @@ def settle(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             row["p"] = 0.0
         rows.append(row | {"open": is_open})
 
-    columns = None
+    schema = None
     for batch in batches:
-        columns, rows = list(batch.columns), []
-        for row in batch.to_dict("records"):
+        schema, rows = batch.schema, []
+        for row in batch.to_pylist():
             if group != (row["bucket"], row["source_rank"]):
                 if held:
                     release(held, rows, True)
@@ -94,9 +94,9 @@ def settle(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
                 else:
                     release(x, rows, False)
         if rows:
-            yield pd.DataFrame(rows, columns=columns)
+            yield pa.RecordBatch.from_pylist(rows, schema)
     if held:
-        yield pd.DataFrame([held | {"open": True}], columns=columns)
+        yield pa.RecordBatch.from_pylist([held | {"open": True}], schema)
 
 
 def mix(docs: DataFrame, most: int = MOST) -> DataFrame:
@@ -125,7 +125,7 @@ def mix(docs: DataFrame, most: int = MOST) -> DataFrame:
     schema = STATE.format(id=dict(docs.dtypes)["doc_id"])
     done, state = None, joined
     while True:
-        state = _dealt(state, F.col("bucket")).mapInPandas(settle, schema)
+        state = _dealt(state, F.col("bucket")).mapInArrow(settle, schema)
         state = materialise(state, "mixing")
         closed = state.filter("not open")
         done = closed if done is None else done.unionByName(closed)
@@ -157,10 +157,11 @@ def mixed(docs: DataFrame, most: int = MOST) -> DataFrame:
     Among rows that differ neither in id nor source nor text, the first in the order of the other
     columns get the odd copies.
     """
-    found = mix(docs, most).groupBy("key").agg(F.sum("copies").alias("_copies"), F.count(F.lit(1)).alias("_rows"))
-    keyed = docs.withColumn("_key", F.xxhash64("doc_id", "source", text_key()))
-    joined = keyed.join(found.withColumnRenamed("key", "_key"), "_key")
-    others = [c for c, kind in docs.dtypes if c not in ("doc_id", "text", "source") and kind.split("<")[0] not in ("map", "variant")]
-    place = F.row_number().over(Window.partitionBy("_key").orderBy(*(others or ["_key"])))
-    own = F.floor(F.col("_copies") / F.col("_rows")) + (place <= F.col("_copies") % F.col("_rows")).cast("long")
-    return joined.withColumn("_own", own).filter("_own > 0").withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_own").cast("int")))).select(*docs.columns)
+    found = mix(docs, most).groupBy("key").agg(F.sum("copies").alias("copies"), F.count(F.lit(1)).alias("rows"))
+    joined = docs.select(packed(docs).alias("row"), F.xxhash64("doc_id", "source", text_key()).alias("key")).join(found, "key")
+    sortable = [c for c, kind in docs.dtypes if c not in ("doc_id", "text", "source") and not kind.startswith(("map", "variant"))]
+    order = [F.col(f"row.`{c}`") for c in sortable] or ["key"]
+    place = F.row_number().over(Window.partitionBy("key").orderBy(*order))
+    joined = joined.withColumn("own", F.floor(F.col("copies") / F.col("rows")) + (place <= F.col("copies") % F.col("rows")).cast("long"))
+    taken = joined.filter("own > 0").select("row", F.explode(F.sequence(F.lit(1), F.col("own").cast("int"))).alias("copy"))
+    return taken.select("row.*")

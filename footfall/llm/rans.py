@@ -19,8 +19,8 @@ import zlib
 import numpy as np
 
 PROB_BITS = 20
-LANES = 1024
-EVERY = 128
+LANES = 2048
+EVERY = 64
 LOW = np.uint64(1 << 31)
 WORD = np.uint64(32)
 _HEAD, _HEAD_SIZE = "<4sI", 8

@@ -20,7 +20,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from footfall.llm.text import in_batches, steps, text_key
+from footfall.llm.text import in_batches, packed, steps, text_key
 from footfall.session import materialise
 
 SEED = 42
@@ -245,6 +245,6 @@ def deduplicated(docs: DataFrame, shingle: int = 3, distance: int = 3) -> DataFr
     first = found.groupBy("component_id", named.alias("f")).agg(F.min(order).alias("k")).select(
         F.col("k.doc_id").alias("_id"), F.col("k.text_key").alias("_key")
     )
-    keyed = docs.withColumn("_key", text_key())
-    kept = keyed.join(first.hint("merge"), keyed["doc_id"].eqNullSafe(first["_id"]) & (keyed["_key"] == first["_key"]), "left_semi")
-    return kept.dropDuplicates(["doc_id", "_key"]).drop("_key")
+    keyed = docs.select(packed(docs).alias("row"), F.col("doc_id").alias("id"), text_key().alias("key"))
+    same = keyed["id"].eqNullSafe(first["_id"]) & (keyed["key"] == first["_key"])
+    return keyed.join(first, same, "left_semi").dropDuplicates(["id", "key"]).select("row.*")

@@ -32,6 +32,11 @@ def in_batches(docs: DataFrame) -> DataFrame:
     return docs
 
 
+def packed(docs: DataFrame) -> Column:
+    """All columns as one, so that no helper column can clash with them."""
+    return F.struct(*[F.col(f"`{c}`") for c in docs.columns])
+
+
 def text_key(text: str = "text") -> Column:
     """Tells rows of one id apart by their text; null and empty texts differ."""
     return F.coalesce(F.xxhash64(F.col(text), F.col(text).isNull()), F.lit(0))

@@ -1,12 +1,13 @@
 """Token ids in range-coded files, in the order of document ids.
 
-A file set is a Parquet folder whose rows are frames and tables (see `rans`): Spark commits whole files, and
-any store that Spark can write holds them. Documents are spread by ranges of their id; a task cuts its
-range in segments, each with a frequency table, and every segment in blocks of whole documents.
+A file set is a Parquet folder whose rows are segments, a frequency table with the frames that share it (see
+`rans`): Spark commits whole files, and any store that Spark can write holds them. Documents are spread by
+ranges of their id; a task cuts its range in segments, and a segment in blocks of whole documents.
 """
 
 from __future__ import annotations
 
+import re
 import sys
 import types
 import zlib
@@ -20,7 +21,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from footfall.llm import rans
-from footfall.llm.text import encoded, in_batches, split_words, spread, steps, text_key
+from footfall.llm.text import encoded, give_back, in_batches, split_words, spread, steps, text_key
 
 END_ID = 2
 BLOCK_IDS = 1 << 18
@@ -29,8 +30,10 @@ CACHE_ENTRIES = 250_000
 #: The tokenizer's own split pattern, and its strings that become ids before any splitting.
 PIECES = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 MARKS = ("<|startoftext|>", "<|endoftext|>")
+ENDINGS = ".,;:!?"
 
-SCHEMA = "shard int, segment int, block int, first long, n_ids long, doc_ids array<long>, lengths array<long>, kind string, payload binary"
+BLOCK = "struct<first:long,n_ids:long,doc_ids:array<long>,lengths:array<long>,payload:binary>"
+SCHEMA = f"shard int, segment int, n_ids long, table binary, blocks array<{BLOCK}>"
 
 
 class WordIds:
@@ -46,7 +49,7 @@ class WordIds:
 
         self.whole = Tokenizer.from_file(path)
         self.model, self.pieces = self.whole.model, regex.compile(PIECES).findall
-        self.plain = regex.compile(r"[\x21-\x7EÀ-ÖØ-öø-įĲ-ňŊ-ž]+").fullmatch
+        self.plain = re.compile(r"[\x21-\x7EÀ-ÖØ-öø-įĲ-ňŊ-ž]+").fullmatch
         self.known: dict[str, bytes] = {}
         printable = [*range(33, 127), *range(161, 173), *range(174, 256)]
         rest = [b for b in range(256) if b not in printable]
@@ -54,19 +57,28 @@ class WordIds:
         self.alphabet = {b: b for b in printable} | {b: 256 + i for i, b in enumerate(rest)}
 
     def ids(self, word: str) -> bytes:
+        if not word.isascii() and not self.plain(word):
+            return self.by_library(word)
+        if word.isalpha():
+            return self.piece(word.lower())
+        if word[:-1].isalpha() and word[-1] in ENDINGS:
+            return self.piece(word[:-1].lower()) + self.piece(word[-1])
         if not self.plain(word) or any(m in word for m in MARKS):
-            return np.array(self.whole.encode(word, add_special_tokens=False).ids, "<u2").tobytes()
-        known, out = self.known, []
-        for piece in self.pieces(word.lower()):
-            found = known.get(piece)
-            if found is None:
-                text = piece if piece.isascii() else piece.encode().decode("latin-1").translate(self.alphabet)
-                found = np.array([t.id for t in self.model.tokenize(text)], "<u2").tobytes()
-                if len(known) >= CACHE_ENTRIES:
-                    known.clear()
-                known[piece] = found
-            out.append(found)
-        return out[0] if len(out) == 1 else b"".join(out)
+            return self.by_library(word)
+        return b"".join(map(self.piece, self.pieces(word.lower())))
+
+    def by_library(self, word: str) -> bytes:
+        return np.array(self.whole.encode(word, add_special_tokens=False).ids, "<u2").tobytes()
+
+    def piece(self, piece: str) -> bytes:
+        found = self.known.get(piece)
+        if found is None:
+            text = piece if piece.isascii() else piece.encode().decode("latin-1").translate(self.alphabet)
+            found = np.array([t.id for t in self.model.tokenize(text)], "<u2").tobytes()
+            if len(self.known) >= CACHE_ENTRIES:
+                self.known.clear()
+            self.known[piece] = found
+        return found
 
 
 def word_ids(path: str) -> WordIds:
@@ -94,39 +106,40 @@ def token_ids(texts: pa.Array, words: WordIds, end_id: int = END_ID) -> tuple[np
     return flat_ids[spread(starts[codes], sizes)], np.diff(stops, prepend=0)
 
 
-def _frames(shard: int, segment: int, first: int, docs: list, lengths: list, ids: np.ndarray) -> Iterator[dict]:
+def _segment(shard: int, segment: int, first: int, docs: list, lengths: list, ids: np.ndarray) -> dict:
     table = rans.Table.of(ids)
-    yield {"shard": shard, "segment": segment, "block": -1, "first": first, "n_ids": 0, "doc_ids": [], "lengths": [],
-           "kind": "table", "payload": table.to_bytes()}
-    at = start = block = 0
+    blocks, start, at = [], 0, 0
     while start < len(docs):
         stop, n = start, 0
         while stop < len(docs) and (stop == start or n + lengths[stop] <= BLOCK_IDS):
             n += lengths[stop]
             stop += 1
-        yield {"shard": shard, "segment": segment, "block": block, "first": first + at, "n_ids": n, "doc_ids": docs[start:stop],
-               "lengths": lengths[start:stop], "kind": "block", "payload": rans.encode(ids[at : at + n], table)}
-        at, start, block = at + n, stop, block + 1
+        frame = rans.encode(ids[at : at + n], table)
+        blocks.append({"first": first + at, "n_ids": n, "doc_ids": docs[start:stop], "lengths": lengths[start:stop], "payload": frame})
+        start, at = stop, at + n
+    return {"shard": shard, "segment": segment, "n_ids": len(ids), "table": table.to_bytes(), "blocks": blocks}
 
 
 def write_tokens(docs: DataFrame, path: str, tokenizer: str, end_id: int = END_ID) -> None:
     """Encode every text of (doc_id, text, ...) and write the file set to a new folder `path`.
 
+    A task holds one segment's ids: `SEGMENT_IDS` and at most one step's more.
+
     Null and empty texts have the end id alone. Rows without an id come first; rows of one id follow each
     other in the order of a hash of their text, and a hot id's rows may go to several tasks.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words, shard = word_ids(tokenizer), TaskContext.get().partitionId()
-        schema = pa.schema([("shard", pa.int32()), ("segment", pa.int32()), ("block", pa.int32()), ("first", pa.int64()),
-                            ("n_ids", pa.int64()), ("doc_ids", pa.list_(pa.int64())), ("lengths", pa.list_(pa.int64())),
-                            ("kind", pa.string()), ("payload", pa.binary())])
+        block = pa.struct([("first", pa.int64()), ("n_ids", pa.int64()), ("doc_ids", pa.list_(pa.int64())),
+                           ("lengths", pa.list_(pa.int64())), ("payload", pa.binary())])
+        schema = pa.schema([("shard", pa.int32()), ("segment", pa.int32()), ("n_ids", pa.int64()), ("table", pa.binary()),
+                            ("blocks", pa.list_(block))])
         first = segment = held = 0
         docs, lengths, ids = [], [], []
 
-        def flush() -> Iterator[pa.RecordBatch]:
-            for row in _frames(shard, segment, first, docs, lengths, np.concatenate(ids)):
-                yield pa.RecordBatch.from_pylist([row], schema)
+        def flush() -> pa.RecordBatch:
+            return pa.RecordBatch.from_pylist([_segment(shard, segment, first, docs, lengths, np.concatenate(ids))], schema)
 
         for batch in batches:
             for part in steps(batch):
@@ -136,24 +149,17 @@ def write_tokens(docs: DataFrame, path: str, tokenizer: str, end_id: int = END_I
                 ids.append(found)
                 held += len(found)
                 if held >= SEGMENT_IDS:
-                    yield from flush()
+                    yield flush()
                     first, segment, held = first + held, segment + 1, 0
                     docs, lengths, ids = [], [], []
         if docs:
-            yield from flush()
+            yield flush()
 
     rows = in_batches(docs).select(F.col("doc_id").cast("long").alias("doc_id"), "text", text_key().alias("tie"))
     ranged = rows.repartitionByRange("doc_id", "tie").sortWithinPartitions("doc_id", "tie").select("doc_id", "text")
     ranged.mapInArrow(run, SCHEMA).write.option("compression", "none").parquet(path)
 
 
-def read_blocks(spark: SparkSession, path: str) -> DataFrame:
-    """Block rows with their segment's table in `table`."""
-    rows = spark.read.parquet(path)
-    tables = rows.filter("kind = 'table'").select("shard", "segment", F.col("payload").alias("table"))
-    return rows.filter("kind = 'block'").drop("kind").join(tables, ["shard", "segment"])
-
-
 def read_tokens(spark: SparkSession, path: str) -> DataFrame:
     """(doc_id, start, n_tokens, ids): every document's ids, decoded block by block."""
     return _decoded(spark, path, "ids array<int>", lambda ids: ids.astype(np.int32), pa.list_(pa.int32()))
@@ -166,30 +172,28 @@ def token_index(spark: SparkSession, path: str) -> DataFrame:
 
 def _decoded(spark: SparkSession, path: str, column: str, value, kind: pa.DataType) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        key, table, slots = None, None, None
         for batch in batches:
             for row in range(len(batch)):
-                get = lambda c: batch.column(c)[row].as_py()  # noqa: B023, E731
-                if key != (get("shard"), get("segment")):
-                    key = (get("shard"), get("segment"))
-                    table = rans.Table.from_bytes(get("table"))
-                    slots = table.slots()
-                ids = rans.decode(get("payload"), table, slots)
-                docs, lengths = get("doc_ids"), np.array(get("lengths"), np.int64)
-                if len(ids) != lengths.sum():
-                    raise rans.Damaged("a block's documents and ids differ in number")
-                stops = np.cumsum(lengths)
-                starts = stops - lengths
-                values = pa.array([value(ids[a:b]) for a, b in zip(starts, stops)], kind)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([key[0]] * len(docs), pa.int32()), pa.array(docs, pa.int64()), pa.array(starts + get("first")), pa.array(lengths), values],
-                    ["shard", "doc_id", "start", "n_tokens", column.split()[0]],
-                )
+                table = rans.Table.from_bytes(batch.column("table")[row].as_py())
+                shard, slots = batch.column("shard")[row].as_py(), table.slots()
+                for block in batch.column("blocks")[row].as_py():
+                    ids = rans.decode(block["payload"], table, slots)
+                    docs, lengths = block["doc_ids"], np.array(block["lengths"], np.int64)
+                    if len(ids) != lengths.sum():
+                        raise rans.Damaged("a block's documents and ids differ in number")
+                    stops = np.cumsum(lengths)
+                    starts = stops - lengths
+                    values = pa.array([value(ids[a:b]) for a, b in zip(starts, stops)], kind)
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array([shard] * len(docs), pa.int32()), pa.array(docs, pa.int64()), pa.array(starts + block["first"]), pa.array(lengths), values],
+                        ["shard", "doc_id", "start", "n_tokens", name],
+                    )
+            give_back()
 
+    name = column.split()[0]
     sizes = spark.read.parquet(path).groupBy("shard").agg(F.sum("n_ids").alias("n"))
     before = Window.orderBy("shard").rowsBetween(Window.unboundedPreceding, -1)
     # One row per shard, so at most as many rows as the writing job had tasks.
     bases = sizes.select("shard", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("base"))
-    rows = read_blocks(spark, path).mapInArrow(run, f"shard int, doc_id long, start long, n_tokens long, {column}")
-    name = column.split()[0]
+    rows = spark.read.parquet(path).select("shard", "table", "blocks").mapInArrow(run, f"shard int, doc_id long, start long, n_tokens long, {column}")
     return rows.join(F.broadcast(bases), "shard").select("doc_id", (F.col("base") + F.col("start")).alias("start"), "n_tokens", name)
