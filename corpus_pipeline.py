@@ -10,15 +10,15 @@ from footfall.llm.catalog import token_rows
 from footfall.llm.decontaminate import decontaminated
 from footfall.llm.mixing import mixed
 from footfall.llm.simhash_dedup import deduplicated
-from footfall.llm.text import table
+from footfall.llm.text import packed, table
 from footfall.session import materialise
 
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents with a recognised language: not null, and with at least one letter."""
     model = language_id.fit_table(docs, language_id.trained_on())
-    tagged = language_id.tag(docs, model, docs.columns)
-    return tagged.filter(F.col("lang_pred") != language_id.NONE).select(*docs.columns)
+    tagged = language_id.tag(docs, model, packed(docs))
+    return tagged.filter(F.col("lang_pred") != language_id.NONE).select("kept.*")
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
