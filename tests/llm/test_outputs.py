@@ -48,7 +48,7 @@ def test_many_rare_symbols_and_one_hot():
     made = rans.Table.of(ids)
     assert made.freqs.sum() == 1 << rans.PROB_BITS and made.freqs.min() >= 1
     frame = rans.encode(ids, made)
-    assert np.array_equal(rans.decode(frame, made), ids) and len(frame) < 500_000
+    assert np.array_equal(rans.decode(frame, made), ids) and len(frame) < 600_000
 
 
 def test_damage_is_found():
