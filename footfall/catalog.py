@@ -15,10 +15,10 @@ from footfall.functions import stats
 from footfall.functions.joins import attach
 from footfall.functions.timeparts import day_period, is_weekend, watch_gap, weekday, weekday_of
 from footfall.ml import folds, scores, trees
-from footfall.ml.encode import label_encode
+from footfall.ml.encode import LabelCodes, label_encode
 from footfall.operators import actions, distribution, intervals, items, pivots, ratios, sequence, tags, users
 from footfall.plans import features, retention
-from footfall.schema import DEMOGRAPHICS, SLICES, TRAIN_COLUMNS
+from footfall.schema import DEFAULT, DEMOGRAPHICS, SLICES, TRAIN_COLUMNS
 from footfall.session import materialise, scratch_path
 from footfall.sources import events as source
 from footfall.sources import sample, sinks
@@ -224,6 +224,15 @@ def sparse_click_pivot(spark: SparkSession, sf: str) -> DataFrame:
     return pivots.sparse_click_pivot(log, pivots.category_values(log))
 
 
+def sparse_click_vectors(spark: SparkSession, sf: str) -> DataFrame:
+    """Vectors over all values of the clicked events, whatever their number, one line per cell."""
+    log = sample.event_log(spark, sf)
+    clicked = log.filter(DEFAULT.in_slice("click"))
+    codes = LabelCodes.fit(clicked, pivots.SPARSE_ITEMS).codes
+    vectors = pivots.sparse_click_vectors(log, codes)
+    return vectors.select("user_id", F.inline(F.arrays_zip("indices", "counts"))).withColumnRenamed("indices", "i").withColumnRenamed("counts", "n")
+
+
 def slice_interval(spark: SparkSession, sf: str) -> DataFrame:
     log = sample.event_log(spark, sf)
     both = actions.slice_durations(log).join(sequence.time_diff_stats(log), "user_id")
@@ -326,7 +335,7 @@ def tail_rate_sweep(spark: SparkSession, sf: str) -> DataFrame:
 
 def _small_table(spark: SparkSession, sf: str) -> DataFrame:
     """A narrow user table for the tree operators: features before the label date, label, fold."""
-    log = sample.before_label(sample.event_log(spark, sf))
+    log = sample.before_label(spark, sf)
     table = actions.action_counts(log).join(actions.video_length_launch_stats(log), "user_id")
     favourite = label_encode(items.favourite_type(log).select("user_id", "fav_play_type"), ["fav_play_type"])
     table = table.join(favourite, "user_id")
@@ -372,14 +381,14 @@ def pattern_refit(spark: SparkSession, sf: str) -> DataFrame:
 
 def retention_scores(spark: SparkSession, sf: str) -> DataFrame:
     """The whole way: features before the label date, tags, encoding, grid, trees, test scores."""
-    log = sample.before_label(sample.event_log(spark, sf))
-    base = users.user_base(sample.before_label(sample.event_log(spark, sf, demographics=True)))
+    log = sample.before_label(spark, sf)
+    base = users.user_base(sample.before_label(spark, sf, demographics=True))
     table = features.user_features(log, users=base)
     table = table.join(items.favourite_type(log), "user_id").join(intervals.interval_stats(log), "user_id")
     table = materialise(table, "features")
     train, test = table.filter(F.col("user_id") % 5 != 0), table.filter(F.col("user_id") % 5 == 0)
     _, scored = retention.train_and_score(
-        train, test, sample.labels(spark, sf), _tag_table(log), settings=SMALL_TREES, folds=(0, 1)
+        train, test, sample.labels(spark, sf), _tag_table(log), settings=SMALL_TREES
     )
     return scored
 
@@ -450,6 +459,7 @@ QUERIES: dict[str, Query] = {
     "day_period_pivot": _log(actions.day_period_pivot),
     "day_period_pivot_intended": _log(actions.day_period_pivot, compat="intended"),
     "sparse_click_pivot": sparse_click_pivot,
+    "sparse_click_vectors": sparse_click_vectors,
     "sparse_click_counts": lambda spark, sf: pivots.sparse_counts(sample.event_log(spark, sf)),
     "slice_duration": _log(actions.slice_durations),
     "watch_ratio_stats": _log(actions.watch_ratio_stats),

@@ -454,14 +454,23 @@ SQL: dict[str, str] = {
     "favourite_type_argmax": q("select * from " + join_all(favourites(True))),
     "ratio_grid": q(ratio_grid()),
     "user_features": q(user_features(), PEOPLE),
+    "sparse_click_vectors": q("""
+        select user_id, i::int as i, count(*) as n from (
+          select user_id, code + case kind when 'video_type' then 0 else (select count(distinct video_type) from ev where click = 1) end as i
+          from (select user_id, 'video_type' as kind, video_type as v from ev where click = 1
+                union all select user_id, 'install_channel', install_channel from ev where click = 1)
+          join (select kind, v, row_number() over (partition by kind order by v) - 1 as code from (
+                select distinct 'video_type' as kind, video_type as v from ev where click = 1
+                union select distinct 'install_channel', install_channel from ev where click = 1)) using (kind, v))
+        group by 1, 2"""),
     "label_encode": q("select user_id, " + ", ".join(encode(f"fav_{s}_type") for s in SLICES) + " from " + join_all(favourites(False))),
     "stratified_folds": q(f"select *, ((row_number() over (partition by label order by md5(user_id::varchar || '2018'), user_id) - 1) % {FOLDS})::int as fold from labels_", LABELS),
     "fold_average": q(f"select user_id, {r('score')} as score from averaged", FOLD_SCORES),
     "prediction_mean": q(f"select {r('avg(score)')} as mean from averaged", FOLD_SCORES),
     "auc_rank": q(
         f"""select {r('sum(case when a.s > b.s then 1.0 when a.s = b.s then 0.5 else 0.0 end) / count(*)', 9)}::double as auc
-        from (select round(score, 4) as s from averaged join labels_ using (user_id) where label = 1) a,
-             (select round(score, 4) as s from averaged join labels_ using (user_id) where label = 0) b""", FOLD_SCORES + LABELS),
+        from (select score as s from averaged join labels_ using (user_id) where label = 1) a,
+             (select score as s from averaged join labels_ using (user_id) where label = 0) b""", FOLD_SCORES + LABELS),
     "tail_rate_sweep": q(f"select {r('threshold')} as threshold, {r('p / nullif(n, 0)::double')} as rate from ({SWEEP})", LABELS),
     "tail_rate_max": q(f"select {r('threshold')} as threshold, {r('rate')} as rate from (select threshold, p / nullif(n, 0)::double as rate from ({SWEEP})) where rate is not null order by 2 desc, 1 limit 1", LABELS),
 }

@@ -10,12 +10,12 @@ from footfall.ml.encode import LabelCodes
 from footfall.ml.trees import CrossValidation, TreeSettings
 from footfall.operators.items import favourite_type
 from footfall.operators.intervals import interval_stats
-from footfall.operators.pivots import category_values
+from footfall.operators.pivots import SPARSE_ITEMS, category_values, sparse_click_vectors
 from footfall.operators.users import user_base, user_labels
 from footfall.plans.features import user_features
 from footfall.plans.retention import train_and_score
 from footfall.schema import DEMOGRAPHICS, TEST_COLUMNS, TRAIN_COLUMNS, EventSpec
-from footfall.session import materialise
+from footfall.session import configure, materialise, scratch_scope
 from footfall.sources.events import load_events
 from footfall.sources.sinks import write_submission, write_table
 
@@ -36,22 +36,38 @@ def feature_job(
     values: dict[str, list[str]] | None = None,
     codes: LabelCodes | None = None,
     fmt: str = "parquet",
-) -> tuple[dict[str, list[str]], LabelCodes]:
-    """Write `<out>/features` and, for train data, `<out>/labels`.
+    item_codes: str | None = None,
+    time_zone: str = "UTC",
+) -> tuple[dict[str, list[str]] | None, LabelCodes]:
+    """Write `<out>/features` and, for train data, `<out>/labels`; calendar features follow `time_zone`.
 
     The event file is text, so it is converted to Parquet once and read by column afterwards. Gives
-    the category values and codes fitted on this file, to be passed to the job for the test file.
+    the category values and codes fitted on this file, to be passed to the job for the test file. Where
+    there are too many values for columns, they are None, and click counts go to `<out>/sparse` as one
+    vector per user, by the codes in `<out>/item_codes` (`item_codes` in the job for the test file).
     """
-    events = materialise(read_event_log(spark, event_path, train), "events")
-    base = materialise(user_base(events, FILE_SPEC), "users")
-    values = values or category_values(events, spec=FILE_SPEC)
-    codes = codes or LabelCodes.fit(base, DEMOGRAPHICS)
-    features = user_features(events, FILE_SPEC, values=values, codes=codes, users=base)
-    favourites = favourite_type(events, FILE_SPEC)
-    wide = features.join(favourites, "UserId").join(interval_stats(events, FILE_SPEC), "UserId")
-    write_table(wide, f"{out}/features", fmt)
-    if train:
-        write_table(user_labels(events, FILE_SPEC), f"{out}/labels", fmt)
+    configure(spark, time_zone)
+    with scratch_scope(spark):
+        events = materialise(read_event_log(spark, event_path, train), "events")
+        base = materialise(user_base(events, FILE_SPEC), "users")
+        if codes is None:
+            LabelCodes.fit(base, DEMOGRAPHICS).save(f"{out}/codes")
+            codes = LabelCodes.load(spark, f"{out}/codes")
+        if values is None:
+            values = category_values(events, spec=FILE_SPEC)
+        if values is None:  # too many for columns: vectors beside the table
+            if item_codes is None:
+                clicked = events.filter(FILE_SPEC.in_slice("click"))
+                LabelCodes.fit(clicked, SPARSE_ITEMS).save(f"{out}/item_codes")
+                item_codes = f"{out}/item_codes"
+            item_table = spark.read.parquet(item_codes)
+            write_table(sparse_click_vectors(events, item_table, FILE_SPEC), f"{out}/sparse", fmt)
+        features = user_features(events, FILE_SPEC, values=values or {}, codes=codes, users=base)
+        favourites = favourite_type(events, FILE_SPEC)
+        wide = features.join(favourites, "UserId").join(interval_stats(events, FILE_SPEC), "UserId")
+        write_table(wide, f"{out}/features", fmt)
+        if train:
+            write_table(user_labels(events, FILE_SPEC), f"{out}/labels", fmt)
     return values, codes
 
 
@@ -64,9 +80,11 @@ def submission_job(
     settings: TreeSettings = TreeSettings(),
 ) -> CrossValidation:
     """Train on `feature_job` output and write the test users' scores."""
-    train, test = spark.read.parquet(f"{train_out}/features"), spark.read.parquet(f"{test_out}/features")
-    labels = spark.read.parquet(f"{train_out}/labels")
-    tags = tags if tags is not None else train.select("UserId").limit(0)
-    result, scores = train_and_score(train, test, labels, tags, "UserId", settings)
-    write_submission(scores, submission, "UserId", "score")
+    configure(spark)
+    with scratch_scope(spark):
+        train, test = spark.read.parquet(f"{train_out}/features"), spark.read.parquet(f"{test_out}/features")
+        labels = spark.read.parquet(f"{train_out}/labels")
+        tags = tags if tags is not None else train.select("UserId").limit(0)
+        result, scores = train_and_score(train, test, labels, tags, "UserId", settings)
+        write_submission(scores, submission, "UserId", "score")
     return result

@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import contextlib
 import tempfile
 import uuid
+from collections.abc import Iterator
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -50,15 +52,39 @@ def local_session(cpus: int | str = "*", memory: str = "8g", partitions: int = 8
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A new path in the folder every executor shares, for a table written between two jobs.
 
-    The cluster names the folder in `spark.checkpoint.dir`. Where it names none, as in tests on
-    one machine, a folder of the driver's machine is set for the session and used.
+    The cluster names the folder in `spark.checkpoint.dir`. Where it names none, a session on one machine,
+    as in tests, sets and uses a folder there; on a cluster that would lose parts, so it is refused.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
+        master = spark.sparkContext.master
+        if not master.startswith("local") or master.startswith("local-cluster"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         root = tempfile.mkdtemp(prefix="footfall-")
         spark.sparkContext.setCheckpointDir(root)
         spark.conf.set("spark.checkpoint.dir", root)
-    return f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    path = f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    for scope in _scopes:
+        scope.append(path)
+    return path
+
+
+_scopes: list[list[str]] = []
+
+
+@contextlib.contextmanager
+def scratch_scope(spark: SparkSession) -> Iterator[None]:
+    """Delete the scratch tables made inside the block at its end; what it returns must not read them."""
+    paths: list[str] = []
+    _scopes.append(paths)
+    try:
+        yield
+    finally:
+        _scopes.remove(paths)
+        jvm = spark.sparkContext._jvm
+        for path in paths:
+            folder = jvm.org.apache.hadoop.fs.Path(path)
+            folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
 
 
 def materialise(table: DataFrame, name: str) -> DataFrame:

@@ -14,19 +14,22 @@ def load_events(
 ) -> DataFrame:
     """Tab-separated event file with a header line; columns take their names by position.
 
-    `nrows` reads only that many rows: the first by (user, time) when `spec` is given, else any.
+    A field that is not of its column's type, or a line with too few fields, stops the job, as a flag does
+    that `clean_events` cannot read. `nrows` takes the first rows of the file (of the files in the order of
+    their names), and `spec` puts what was taken in (user, time) order.
     """
     events = (
         spark.read.schema(event_file_schema(columns))
         .option("sep", "\t")
         .option("header", True)
         .option("enforceSchema", True)
+        .option("mode", "FAILFAST")
         .csv(path)
     )
-    if nrows is None:
-        return events
-    ordered = events.orderBy(spec.user, spec.play_stamp) if spec else events
-    return ordered.limit(nrows)
+    if nrows is not None:
+        place = [F.col("_metadata.file_path"), F.col("_metadata.file_block_start"), F.monotonically_increasing_id()]
+        events = events.orderBy(*place).limit(nrows)
+    return events.orderBy(spec.user, spec.play_stamp) if spec else events
 
 
 def first_events(events: DataFrame, nrows: int, spec: EventSpec = DEFAULT) -> DataFrame:

@@ -47,13 +47,17 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return configure(spark).read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def raw_events(spark: SparkSession, sf_dir: str, demographics: bool = False) -> DataFrame:
+def raw_events(spark: SparkSession, sf_dir: str, demographics: bool = False, before: str | None = None) -> DataFrame:
     """All rows of `events` with the raw columns of an event log.
 
     Demographics cost a join, so only operators that read them ask for it; very active users
-    are spread (see `attach`).
+    are spread (see `attach`). `before` keeps earlier events; the scan is pruned by it.
     """
-    events = table(spark, sf_dir, "events").withColumn(
+    events = table(spark, sf_dir, "events")
+    if before:
+        kind = events.schema["ts"].dataType.simpleString()
+        events = events.filter(F.col("ts") < F.lit(before).cast(kind))
+    events = events.withColumn(
         "k", F.regexp_extract("props", "([0-9]+)", 1).cast("int")
     )
     raw = events.selectExpr(*[c if e == c else f"{e} as `{c}`" for c, e in RAW.items()])
@@ -65,9 +69,9 @@ def raw_events(spark: SparkSession, sf_dir: str, demographics: bool = False) ->
     return attach(raw, customers, "user_id", ["event_id"])
 
 
-def event_log(spark: SparkSession, sf_dir: str, demographics: bool = False) -> DataFrame:
+def event_log(spark: SparkSession, sf_dir: str, demographics: bool = False, before: str | None = None) -> DataFrame:
     """The same, decoded and cleaned: what the operators take."""
-    return clean_events(decode_timestamp(raw_events(spark, sf_dir, demographics)), drop=("location",))
+    return clean_events(decode_timestamp(raw_events(spark, sf_dir, demographics, before)), drop=("location",))
 
 
 def labels(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -77,6 +81,6 @@ def labels(spark: SparkSession, sf_dir: str) -> DataFrame:
     return events.groupBy("user_id").agg(F.max(F.when(buys, 1).otherwise(0)).alias("label"))
 
 
-def before_label(events: DataFrame) -> DataFrame:
+def before_label(spark: SparkSession, sf_dir: str, demographics: bool = False) -> DataFrame:
     """The part of the event log features may use to predict the label."""
-    return events.filter(F.col("ts") < F.lit(LABEL_FROM).cast("timestamp"))
+    return event_log(spark, sf_dir, demographics, before=LABEL_FROM)

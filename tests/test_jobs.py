@@ -6,6 +6,7 @@ import numpy as np
 
 from fixtures import stamp
 from footfall.ml.trees import TreeSettings
+from footfall.operators import pivots
 from footfall.plans.jobs import feature_job, submission_job
 from footfall.schema import TEST_COLUMNS, TRAIN_COLUMNS
 
@@ -47,3 +48,19 @@ def test_file_to_submission(spark, tmp_path):
     assert sum(f.endswith("_ratio") and "_interval_" in f for f in result.features) == 245
     lines = [line for f in pathlib.Path(tmp_path / "submission").glob("*.csv") for line in f.read_text().split()]
     assert len(lines) == 30 and all(len(line.split(",")[1]) == 6 for line in lines)
+
+
+def test_many_values_become_vectors(spark, tmp_path, monkeypatch):
+    """More values than columns are made for: the job goes on, with a vector per user beside the table."""
+    monkeypatch.setattr(pivots, "MAX_COLUMNS", 4)
+    monkeypatch.setattr(pivots.category_values, "__defaults__", (*pivots.category_values.__defaults__[:-1], 4))
+    write_events(tmp_path / "train.tsv", range(40), 1, TRAIN_COLUMNS)
+    values, codes = feature_job(spark, str(tmp_path / "train.tsv"), str(tmp_path / "train"))
+    assert values is None and codes.size("edu") == 2
+    vectors = spark.read.parquet(str(tmp_path / "train" / "sparse")).collect()
+    clicks = sum(sum(r["counts"]) for r in vectors)
+    lines = [line.split("\t") for line in (tmp_path / "train.tsv").read_text().splitlines()]
+    clicked = [line for line in lines[1:] if line[TRAIN_COLUMNS.index("click")] == "1"]
+    assert clicks == 2 * len(clicked)  # a video type and a channel each
+    sizes = [len({line[TRAIN_COLUMNS.index(c)] for line in clicked}) for c in ("video_type", "install_channel")]
+    assert {i for r in vectors for i in r["indices"]} == set(range(sum(sizes)))

@@ -6,9 +6,10 @@ import pytest
 
 import __spark_entry__ as entry_point
 import compare
+from footfall import catalog, oracles
 
 SF = os.environ.get("FOOTFALL_SF_DIR", "/root/testdata/sf0.001")
-QUERIES, SQL = entry_point.queries(), entry_point.oracle_sql()
+QUERIES, SQL = catalog.QUERIES, oracles.SQL
 # Iterative training and files written and read back: no SQL says the same.
 WITHOUT_SQL = {"feature_vector", "gbt_auc", "feature_importance", "importance_refit", "pattern_refit", "retention_scores"}
 
@@ -21,6 +22,7 @@ def con():
 def test_every_query_has_sql():
     assert set(QUERIES) - set(SQL) == WITHOUT_SQL
     assert set(SQL) <= set(QUERIES)
+    assert set(QUERIES) <= set(entry_point.queries()) and set(SQL) <= set(entry_point.oracle_sql())
 
 
 @pytest.mark.parametrize("name", sorted(SQL))

@@ -6,7 +6,7 @@ import pytest
 
 from footfall import EventSpec
 from footfall.schema import TEST_COLUMNS, TRAIN_COLUMNS
-from footfall.session import scratch_path
+from footfall.session import materialise, scratch_path, scratch_scope
 from footfall.functions.cleaning import clean_events
 from footfall.functions.timeparts import decode_timestamp
 from footfall.operators import actions, distribution, sequence
@@ -49,8 +49,20 @@ def test_event_file_by_position(spark, tmp_path, columns):
 def test_row_limit(spark, tmp_path):
     path = event_file(tmp_path, TRAIN_COLUMNS)
     assert source.load_events(spark, path, nrows=2).count() == 2
-    first = source.load_events(spark, path, nrows=1, spec=SPEC).first()
-    assert first["UserId"] == "3"
+    taken = [r["UserId"] for r in source.load_events(spark, path, nrows=2).collect()]
+    assert taken == [line[0] for line in LINES[:2]]
+    ordered = [r["UserId"] for r in source.load_events(spark, path, nrows=3, spec=SPEC).collect()]
+    assert ordered == sorted(line[0] for line in LINES)
+
+
+def test_malformed_fields_stop_the_job(spark, tmp_path):
+    path = pathlib.Path(event_file(tmp_path, TRAIN_COLUMNS))
+    good = path.read_text()
+    line = good.splitlines()[1].split("\t")
+    for bad in (["x" if c == "play_stamp" else v for c, v in zip(TRAIN_COLUMNS, line)], line[:5]):
+        path.write_text(good + "\t".join(bad) + "\n")
+        with pytest.raises(Exception, match="MALFORMED|FAILFAST"):
+            source.load_events(spark, str(path)).collect()
 
 
 def test_profile(spark, tmp_path):
@@ -88,3 +100,23 @@ def test_scratch_is_in_the_checkpoint_folder(spark):
     path = scratch_path(spark, "x")
     assert path.startswith(spark.conf.get("spark.checkpoint.dir"))
     assert scratch_path(spark, "x") != path
+
+
+def test_no_local_scratch_on_a_cluster(monkeypatch):
+    class Conf:
+        get = staticmethod(lambda key, default=None: default)
+
+    class Session:
+        conf = Conf
+        sparkContext = type("Context", (), {"master": "yarn"})
+
+    with pytest.raises(RuntimeError, match="checkpoint.dir"):
+        scratch_path(Session, "x")
+
+
+def test_scratch_of_a_scope_is_deleted(spark):
+    with scratch_scope(spark):
+        table = materialise(spark.range(3), "x")
+        path = table.inputFiles()[0].removeprefix("file:")
+        assert pathlib.Path(path).exists()
+    assert not pathlib.Path(path).parent.exists()
