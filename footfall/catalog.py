@@ -11,14 +11,15 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from footfall.functions import stats
+from footfall.functions import stats, timeparts
 from footfall.functions.joins import attach
+from footfall.functions.cleaning import clean_events as clean
 from footfall.functions.timeparts import day_period, is_weekend, watch_gap, weekday, weekday_of
 from footfall.ml import folds, scores, trees
 from footfall.ml.encode import LabelCodes, label_encode
 from footfall.operators import actions, distribution, intervals, items, pivots, ratios, sequence, tags, users
 from footfall.plans import features, retention
-from footfall.schema import DEFAULT, DEMOGRAPHICS, SLICES, TRAIN_COLUMNS
+from footfall.schema import DEFAULT, DEMOGRAPHICS, SLICES, TRAIN_COLUMNS, EventSpec
 from footfall.session import materialise, scratch_path
 from footfall.sources import events as source
 from footfall.sources import sample, sinks
@@ -65,6 +66,27 @@ def load_events(spark: SparkSession, sf: str) -> DataFrame:
     return source.load_events(spark, _event_file(spark, sf))
 
 
+FILE_SPEC = EventSpec(user="UserId")
+
+
+def _from_file(spark: SparkSession, sf: str) -> DataFrame:
+    """The event file read back and cleaned; it has no event id, so that one is given."""
+    raw = source.load_events(spark, _event_file(spark, sf))
+    return source.with_event_id(clean(timeparts.decode_timestamp(raw), drop=("location",)))
+
+
+def file_event_intervals(spark: SparkSession, sf: str) -> DataFrame:
+    log = _from_file(spark, sf)
+    found = intervals.event_intervals(log, FILE_SPEC).join(log.select("event_id", "play_stamp"), "event_id")
+    return found.select("UserId", "play_stamp", "interval", "interval_flag")
+
+
+def file_event_tags(spark: SparkSession, sf: str) -> DataFrame:
+    log = _from_file(spark, sf)
+    found = tags.event_tag_counts(log, FILE_SPEC).join(log.select("event_id", "play_stamp"), "event_id")
+    return found.select("UserId", "play_stamp", "tag_count")
+
+
 def load_events_limited(spark: SparkSession, sf: str) -> DataFrame:
     return source.first_events(sample.event_log(spark, sf), 1000).select("user_id", "event_id", "play_stamp")
 
@@ -397,6 +419,8 @@ QUERIES: dict[str, Query] = {
     # Sources and sinks
     "load_events": load_events,
     "load_events_limited": load_events_limited,
+    "file_event_intervals": file_event_intervals,
+    "file_event_tags": file_event_tags,
     "load_feature_table": load_feature_table,
     "profile_events": lambda spark, sf: source.profile_events(sample.event_log(spark, sf)),
     "user_labels": user_labels,

@@ -421,6 +421,9 @@ SQL: dict[str, str] = {
     "diff1_slices": q("select user_id, event_id, diff_show, diff_click, diff_like from ev " + " ".join(f"left join ({event_diff(s)}) using (event_id)" for s in ("show", "click", "like"))),
     "diff2_max": q("select user_id, " + ", ".join(f"diff2_time_{s}_max" for s in SLICES) + " from " + join_all([diffs(s) for s in SLICES])),
     "event_interval": q(f"select user_id, event_id, d as interval, nullif(d, 0) as interval_record, case when d <> 0 then 1 end::int as interval_flag from {STEPS}"),
+    "file_event_intervals": q(f"""select user_id::varchar as "UserId", play_stamp, d as interval, case when d <> 0 then 1 end::int as interval_flag
+        from {STEPS} join (select event_id, play_stamp from ev) using (event_id)"""),
+    "file_event_tags": q("""select user_id::varchar as "UserId", play_stamp, len(string_split(trim(coalesce(video_tag, 'nan')), '$'))::int as tag_count from ev"""),
     "user_base": q(base(True), PEOPLE + LABELS),
     "user_base_nolabel": q(base(False), PEOPLE),
     "action_counts": q(by_user(ACTIONS)),

@@ -16,10 +16,10 @@ from footfall.plans.features import user_features
 from footfall.plans.retention import train_and_score
 from footfall.schema import DEMOGRAPHICS, TEST_COLUMNS, TRAIN_COLUMNS, EventSpec
 from footfall.session import configure, materialise, scratch_scope
-from footfall.sources.events import load_events
+from footfall.sources.events import load_events, with_event_id
 from footfall.sources.sinks import write_submission, write_table
 
-FILE_SPEC = EventSpec(user="UserId", tie=None)
+FILE_SPEC = EventSpec(user="UserId")
 
 
 def read_event_log(spark: SparkSession, path: str, train: bool = True) -> DataFrame:
@@ -48,7 +48,7 @@ def feature_job(
     """
     configure(spark, time_zone)
     with scratch_scope(spark):
-        events = materialise(read_event_log(spark, event_path, train), "events")
+        events = with_event_id(read_event_log(spark, event_path, train))
         base = materialise(user_base(events, FILE_SPEC), "users")
         if codes is None:
             LabelCodes.fit(base, DEMOGRAPHICS).save(f"{out}/codes")

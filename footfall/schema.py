@@ -52,6 +52,12 @@ class EventSpec:
         """Condition for an action slice; `play` is every event."""
         return F.lit(True) if name == "play" else F.col(name) == 1
 
+    def single(self) -> str:
+        """The column that tells single events apart, for operators with a row per event."""
+        if not self.tie:
+            raise ValueError("rows per event need an event id: see sources.events.with_event_id")
+        return self.tie
+
     def order_key(self) -> Column:
         return F.struct(self.ts, self.tie) if self.tie else F.struct(self.ts)
 

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from footfall.schema import DEFAULT, TRAIN_COLUMNS, EventSpec, event_file_schema
+from footfall.session import materialise
 
 
 def load_events(
@@ -32,6 +33,12 @@ def load_events(
     return events.orderBy(spec.user, spec.play_stamp) if spec else events
 
 
+def with_event_id(events: DataFrame, name: str = "event_id") -> DataFrame:
+    """The events with a number of their own, in the order of the file; written once, so that every use
+    of the table sees the same numbers."""
+    return materialise(events.withColumn(name, F.monotonically_increasing_id()), "events")
+
+
 def first_events(events: DataFrame, nrows: int, spec: EventSpec = DEFAULT) -> DataFrame:
     """The first `nrows` events by (user, time): a top-k per task, no full sort."""
     return events.orderBy(*_order(spec)).limit(nrows)
