@@ -35,6 +35,7 @@ HEADLINE = [
     "tail_rate_sweep",
     "user_features",
     "ratio_grid",
+    "gbt_auc",
 ]
 RUNS = 3
 
