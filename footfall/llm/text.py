@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import ctypes
+import gc
 from collections.abc import Iterator
 
 import numpy as np
@@ -75,6 +76,13 @@ def gathered(batches: Iterator[pa.RecordBatch], column: str = "text", limit: int
         yield pa.concat_batches(held)
 
 
+def drop_finished_shuffles(spark: SparkSession) -> None:
+    """Let Spark delete the shuffle files of jobs whose results are written: it does once the driver's JVM
+    has collected what refers to them, by itself only every half hour."""
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
 def give_back() -> None:
     """Return freed memory to the machine: a worker lives on between tasks, beside the executor's JVM."""
     pa.default_memory_pool().release_unused()
