@@ -301,7 +301,7 @@ def test_secrets_of_odd_rows(spark):
     by_id = {r.doc_id: r for r in found}
     for i, t in enumerate(SECRETS):
         assert (by_id[20 + i].base_sha256, by_id[20 + i].spans) == plain_digest(t)
-    assert by_id[20].n_assign == 2 and by_id[21].n_access == 1 and by_id[22].n_hex == 1
+    assert by_id[20].n_assign == 2 and by_id[21].n_access == 1 and by_id[22].n_hex == 2
     assert secret_scan.scan(odd.docs(spark, [])).count() == 0
 
 
