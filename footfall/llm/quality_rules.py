@@ -91,7 +91,10 @@ def counts(docs: DataFrame, text: str = "text", keep: tuple[str, ...] = ("doc_id
 def judged(
     docs: DataFrame, rules: tuple[Rule, ...] = RULES, min_words: int = 50, text: str = "text", keep: tuple[str, ...] = ("doc_id",)
 ) -> DataFrame:
-    """The counts with `base_failed` (too short or mostly repeated), `failed` (names of rules) and `kept`."""
+    """The counts with `base_failed` (too short or mostly repeated), `failed` (names of rules) and `kept`.
+
+    Write the result before filtering by it: a filter that moves below the projections repeats their work.
+    """
     failed = F.array_compact(F.array(*[F.when(~F.coalesce(r.passes(), F.lit(False)), F.lit(r.name)) for r in rules]))
     base = (F.col("n_words") < min_words) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words"))
     kept = ~base & reduce(lambda a, b: a & b, [F.coalesce(r.passes(), F.lit(False)) for r in rules], F.lit(True))
