@@ -28,7 +28,6 @@ CLASSES = 64
 CORE_SHARE = 4096
 TAILS = 512
 TAIL_LETTERS = 3
-ROUNDS = 8
 PARTS = 4
 BLOCKS = 32
 SMOOTH_CLASS = 0.5
@@ -160,8 +159,9 @@ def gains(g: int, right: np.ndarray, left: np.ndarray, own: float, table: np.nda
     r[g] -= own
     c[g] -= own
     diagonal = np.arange(k)
-    gain_rows = (_h(base + r[None, :]) - _h(base)).sum(1)
-    gain_cols = (_h(base + c[:, None]) - _h(base)).sum(0)
+    met, meets = np.flatnonzero(r), np.flatnonzero(c)  # a rare item meets few classes
+    gain_rows = (_h(base[:, met] + r[None, met]) - _h(base[:, met])).sum(1)
+    gain_cols = (_h(base[meets] + c[meets, None]) - _h(base[meets])).sum(0)
     # The corner cell takes both parts and the own pairs at once.
     corner = base[diagonal, diagonal]
     gain = gain_rows + gain_cols - (_h(corner + r) - _h(corner)) - (_h(corner + c) - _h(corner)) + _h(corner + r + c + own) - _h(corner)
@@ -193,42 +193,90 @@ def likelihood(table: np.ndarray) -> float:
     return float(_h(table).sum() - _h(table.sum(1)).sum() - _h(table.sum(0)).sum())
 
 
-def exchange(packed: DataFrame, order: np.ndarray, n_classes: int = CLASSES, rounds: int = ROUNDS) -> np.ndarray:
+def moved(table: np.ndarray, g: int, h: int, right: np.ndarray, left: np.ndarray, own: float) -> np.ndarray:
+    """Class bigrams after an item goes from class g to h; `right` and `left` are without its own pairs."""
+    table = table.copy()
+    table[g, :] -= right
+    table[:, g] -= left
+    table[h, :] += right
+    table[:, h] += left
+    table[g, g] -= own
+    table[h, h] += own
+    return table
+
+
+def least_gain(table: np.ndarray) -> float:
+    """Less than this is rounding."""
+    return max(1e-9, 1e-12 * float(_h(table).sum()))
+
+
+def exchange(packed: DataFrame, order: np.ndarray, n_classes: int = CLASSES, rounds: int | None = None) -> np.ndarray:
     """Class of every item. Items start in classes in turn, by frequency; class 0 is the end's alone.
 
-    A round scores the moves of one in `PARTS` items at once. A round that lowers the likelihood is
-    undone and its better half is tried the next time.
+    A round looks at one in `PARTS` items: the blocks send those that would gain by a move, and their pairs
+    with items of the same part. Moves are made one by one, each with the counts that the moves before it
+    left, so that each raises the likelihood. Ends when no item of any part gains by a move, or after `rounds`.
     """
     classes = np.zeros(len(order), np.int64)
     rest = order[order != END]
     classes[rest] = np.arange(len(rest)) % (n_classes - 1) + 1
     table = class_table(packed, classes, n_classes)
-    best, limit = likelihood(table), len(order)
-    for turn in range(rounds):
+    least, turn, still = least_gain(table), 0, 0
+    while still < PARTS and (rounds is None or turn < rounds):
         current, counts = classes.copy(), table
+        in_part = (np.arange(len(order)) // BLOCKS + turn) % PARTS == 0
+        in_part[END] = False
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for batch in batches:
                 for row in batch.to_pylist():
                     items, right, left, own = _block(row, current, n_classes)  # noqa: B023
-                    chosen = [i for i, x in enumerate(items) if x != END and (x // BLOCKS + turn) % PARTS == 0]  # noqa: B023
-                    moves = []
-                    for i in chosen:
+                    item, other = np.frombuffer(row["item"], "<i4"), np.frombuffer(row["other"], "<i4")
+                    n, after = np.frombuffer(row["n"], "<i8"), np.frombuffer(row["after"], "?")
+                    near = in_part[item] & in_part[other] & (item != other)  # noqa: B023
+                    for i in np.flatnonzero(in_part[items]):  # noqa: B023
                         gain = gains(int(current[items[i]]), right[i], left[i], own[i], counts)  # noqa: B023
                         gain[END] = -np.inf
-                        moves.append((int(items[i]), int(gain.argmax()), float(gain.max())))
-                    out = [pa.array([m[j] for m in moves], t) for j, t in enumerate((pa.int32(), pa.int32(), pa.float64()))]
-                    yield pa.RecordBatch.from_arrays(out, ["item", "class", "gain"])
-
-        moves = packed.mapInArrow(run, "item int, class int, gain double").filter("gain > 0").collect()
-        moves = sorted(moves, key=lambda m: (-m["gain"], m["item"]))[:limit]  # at most one row per item
-        for m in moves:
-            classes[m["item"]] = m["class"]
-        table = class_table(packed, classes, n_classes)
-        if likelihood(table) < best:
-            classes, table, limit = current, counts, max(1, len(moves) // 2)
-        else:
-            best, limit = likelihood(table), len(order)
+                        if gain.max() <= least:
+                            continue
+                        at = np.flatnonzero(near & (item == items[i]))
+                        yield pa.RecordBatch.from_pydict(
+                            {
+                                "item": pa.array([int(items[i])], pa.int32()),
+                                "gain": pa.array([float(gain.max())]),
+                                "own": pa.array([float(own[i])]),
+                                **{c: pa.array([x.tobytes()], pa.binary()) for c, x in (("right", right[i]), ("left", left[i]))},
+                                **{c: pa.array([x[at].tobytes()], pa.binary()) for c, x in (("other", other), ("n", n), ("after", after))},
+                            }
+                        )
+
+        kinds = "item int, gain double, own double, right binary, left binary, other binary, n binary, after binary"
+        found = sorted(packed.mapInArrow(run, kinds).collect(), key=lambda m: (-m.gain, m.item))  # a part's items at most
+        at = {m.item: i for i, m in enumerate(found)}
+        sides = []
+        for m in found:  # what follows and what precedes the item, without itself
+            right, left = np.frombuffer(m.right).copy(), np.frombuffer(m.left).copy()
+            right[classes[m.item]] -= m.own
+            left[classes[m.item]] -= m.own
+            sides.append((right, left))
+        any_moved, again = False, bool(found)
+        while again:
+            again = False
+            for m, (right, left) in zip(found, sides):
+                g, own = int(classes[m.item]), np.zeros(n_classes)
+                own[g] = m.own
+                gain = gains(g, right + own, left + own, m.own, table)
+                gain[END] = -np.inf
+                h = int(gain.argmax())
+                if gain[h] <= least:
+                    continue
+                table, classes[m.item], any_moved, again = moved(table, g, h, right, left, m.own), h, True, True
+                for other, n, after in zip(np.frombuffer(m.other, "<i4").tolist(), np.frombuffer(m.n, "<i8").tolist(), np.frombuffer(m.after, "?")):
+                    if other in at:  # the item precedes what comes after it
+                        side = sides[at[other]][1 if after else 0]
+                        side[g] -= n
+                        side[h] += n
+        turn, still = turn + 1, 0 if any_moved else still + 1
     return classes
 
 
@@ -246,7 +294,7 @@ class Model:
     words: DataFrame
 
 
-def fit(coded: DataFrame, n_classes: int = CLASSES, rounds: int = ROUNDS) -> Model:
+def fit(coded: DataFrame, n_classes: int = CLASSES, rounds: int | None = None) -> Model:
     spark = coded.sparkSession
     entries = coded.select(F.explode(F.arrays_zip("words", "n_train")).alias("e")).select("e.words", "e.n_train").filter("n_train > 0")
     counts = materialise(entries.groupBy(F.col("words").alias("word")).agg(F.sum("n_train").alias("c")), "word_counts")
@@ -331,7 +379,7 @@ def score(coded: DataFrame, model: Model) -> DataFrame:
     )
 
 
-def score_documents(docs: DataFrame, held_out: Column, n_classes: int = CLASSES, rounds: int = ROUNDS) -> DataFrame:
+def score_documents(docs: DataFrame, held_out: Column, n_classes: int = CLASSES, rounds: int | None = None) -> DataFrame:
     """Learn from the rows that are not held out, and score all rows."""
     path = scratch_path(docs.sparkSession, "coded_texts")
     code(docs, held_out).write.option("compression", "zstd").parquet(path)

@@ -170,6 +170,19 @@ def test_gains_are_changes_of_the_likelihood():
             assert gains[h] == pytest.approx(class_lm.likelihood(counts(moved)) - class_lm.likelihood(counts(classes)), abs=1e-6)
 
 
+def test_exchange_ends_where_no_single_move_gains(spark):
+    rng = np.random.default_rng(4)
+    n = (rng.integers(0, 40, (150, 150)) * (rng.random((150, 150)) < 0.2)).astype(float)
+    pairs = spark.createDataFrame([(int(a), int(b), int(n[a, b])) for a, b in np.argwhere(n)], "a int, b int, n long")
+    classes = class_lm.exchange(class_lm.contexts(pairs).cache(), np.arange(150), n_classes=6)
+    table = np.zeros((6, 6))
+    np.add.at(table, (np.repeat(classes, 150), np.tile(classes, 150)), n.ravel())
+    for w in range(1, 150):
+        right, left = np.bincount(classes, n[w], 6), np.bincount(classes, n[:, w], 6)
+        gain = class_lm.gains(int(classes[w]), right, left, n[w, w], table)
+        assert gain[1:].max() < 1e-6
+
+
 # --- mixing
 
 
