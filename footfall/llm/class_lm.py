@@ -1,12 +1,14 @@
 """Brown's class-based bigrams: words in classes by exchange clustering, texts scored by class transitions.
 
 Texts are coded once: a chunk is a row with its different words, their counts, and the words of its texts
-as codes. Word counts are exact over all training texts. Clustering moves items: a frequent word (at least
-1 in `CORE_SHARE` training tokens, so at most that many) is an item, and all other words share `TAILS`
+as codes. Word counts are exact over all training texts. Clustering begins with the head: a word of at least
+1 in `CORE_SHARE` training tokens (so at most that many) is an item, and all other words share `TAILS`
 items by a hash of their last letters. Item bigrams count every training bigram; the table has at most
 (CORE_SHARE + TAILS + 1)**2 rows, packed in blocks, and each exchange round scores all moves of the
-round's items in parallel. Scores use P(class | class before) * P(word | class), both smoothed, where each
-class keeps one share for unseen words.
+round's items in parallel. Then every other word of at least `OWN_COUNT` training tokens, whatever their
+share, goes from its shared item to the class that its own counts by the class before and after fit best.
+Rarer and unseen words keep the class of the shared item. Class bigrams are counted with the final classes. Scores
+use P(class | class before) * P(word | class), both smoothed, where each class keeps one share for unseen words.
 """
 
 from __future__ import annotations
@@ -21,13 +23,14 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from footfall.llm.text import encoded, gathered, in_batches, split_words
+from footfall.llm.text import drop_finished_shuffles, encoded, gathered, give_back, in_batches, split_words
 from footfall.session import materialise, scratch_path
 
 CLASSES = 64
 CORE_SHARE = 4096
 TAILS = 512
 TAIL_LETTERS = 3
+OWN_COUNT = 3
 PARTS = 4
 BLOCKS = 32
 SMOOTH_CLASS = 0.5
@@ -280,9 +283,134 @@ def exchange(packed: DataFrame, order: np.ndarray, n_classes: int = CLASSES, rou
     return classes
 
 
+CELL = np.dtype([("cell", "<u2"), ("n", "<u4")])
+
+
+def word_contexts(coded: DataFrame, core: dict[str, int], classes: np.ndarray, n_classes: int) -> DataFrame:
+    """(word, cells) of each chunk's words that are not in the core, of training texts.
+
+    Cells count the class after (0 ...), the class before (n_classes ...) and the word itself after (2 * n_classes).
+    """
+    sent = coded.sparkSession.sparkContext.broadcast(core)  # at most CORE_SHARE words
+    width = 2 * n_classes + 1
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known = sent.value
+        for batch in batches:
+            for i in range(len(batch)):
+                words = batch.column("words")[i].values
+                items = [known.get(w) or tail_of(w) for w in words.to_pylist()]
+                kind = np.int32 if (len(items) + 1) * width < 1 << 31 else np.int64
+                items = np.append(np.array(items, kind), END).astype(kind)
+                lengths = np.array(batch.column("lengths")[i].as_py(), np.int64)
+                train = ~np.array(batch.column("held")[i].as_py(), bool)
+                codes = np.frombuffer(batch.column("codes")[i].as_py(), "<i4")
+                path = with_ends(codes[np.repeat(train, lengths)], lengths[train], len(items) - 1).astype(kind)
+                shared, word_class = (items != END) & (items <= TAILS), classes[items].astype(kind)
+                x, y = path[:-1], path[1:]
+                after, before = shared[x], shared[y]
+                twice = x[after & (x == y)]
+                keys = np.concatenate(
+                    [x[after] * width + word_class[y[after]], y[before] * width + n_classes + word_class[x[before]], twice * width + 2 * n_classes]
+                )
+                keys, n = np.unique(keys, return_counts=True)
+                own, starts = np.unique(keys // width, return_index=True)
+                cells = np.empty(len(keys), CELL)
+                cells["cell"], cells["n"] = keys % width, n
+                ends = (np.append(starts, len(keys)) * CELL.itemsize).astype(np.int32)
+                data = pa.BinaryArray.from_buffers(pa.binary(), len(own), [None, pa.py_buffer(ends), pa.py_buffer(cells.tobytes())])
+                yield pa.RecordBatch.from_arrays([words.take(pa.array(own, pa.int64())), data], ["word", "cells"])
+            give_back()
+
+    return coded.select("words", "held", "lengths", "codes").mapInArrow(run, "word string, cells binary")
+
+
+def own_classes(found: DataFrame, classes: np.ndarray, table: np.ndarray) -> DataFrame:
+    """(word, own) of the words of at least `OWN_COUNT` tokens: the class that their contexts fit best."""
+    k, least = len(table), least_gain(table)
+    least_count = OWN_COUNT
+
+    def best(word: str, parts: list[bytes]) -> int | None:
+        cells = np.frombuffer(b"".join(parts), CELL)
+        n = np.bincount(cells["cell"], cells["n"], 2 * k + 1)
+        right, left, own = n[:k], n[k : 2 * k], n[2 * k]
+        if left.sum() < least_count:  # one class before each token
+            return None
+        g = int(classes[tail_of(word)])
+        gain = gains(g, right, left, own, table)
+        gain[END] = -np.inf
+        return int(gain.argmax()) if gain.max() > least else g
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def batch_of(rows: list[tuple[str, int | None]]) -> pa.RecordBatch:
+            rows = [r for r in rows if r[1] is not None]
+            return pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.string()), pa.array([r[1] for r in rows], pa.int32())], ["word", "own"])
+
+        word, parts = None, []
+        for batch in batches:
+            out = []
+            for w, cells in zip(batch.column("word").to_pylist(), batch.column("cells").to_pylist()):
+                if w != word and parts:
+                    out.append((word, best(word, parts)))
+                    parts = []
+                word = w
+                parts.append(cells)
+            yield batch_of(out)
+        if parts:
+            yield batch_of([(word, best(word, parts))])
+
+    # A chunk gives a word one row, so even a word of every text has few.
+    return found.repartition("word").sortWithinPartitions("word").mapInArrow(run, "word string, own int")
+
+
+def looked_up(coded: DataFrame, words: DataFrame) -> DataFrame:
+    """Chunk rows with `entries`: place, training count, shared item and class (-1 if unseen) of their words."""
+    own = coded.select("chunk", F.posexplode("words").alias("at", "word"))
+    looked = own.join(words, "word", "left").select(
+        "chunk",
+        F.struct("at", F.coalesce("c", F.lit(0)).alias("c"), F.coalesce("item", tail_item()).alias("item"), F.coalesce("class", F.lit(-1)).alias("class")).alias("e"),
+    )
+    entries = looked.groupBy("chunk").agg(F.collect_list("e").alias("entries"))  # one chunk's dictionary
+    rows = coded.select("chunk", "doc_ids", "held", "lengths", "codes").join(entries, "chunk", "left")
+    return rows.select("entries", "doc_ids", "held", "lengths", "codes")
+
+
+def entries_of(found: pa.ListScalar, classes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Training counts and classes of a chunk's words."""
+    found = found.values
+    at = np.asarray(found.field("at")) if found is not None else np.zeros(0, int)
+    c, word_class = np.zeros(len(at)), np.zeros(len(at), np.int64)
+    if len(at):
+        own = np.asarray(found.field("class"))
+        c[at], word_class[at] = np.asarray(found.field("c")), np.where(own < 0, classes[np.asarray(found.field("item"))], own)
+    return c, word_class
+
+
+def class_bigrams(chunks: DataFrame, classes: np.ndarray, n_classes: int) -> np.ndarray:
+    """Class bigrams of training texts, by the final class of each word."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros(n_classes * n_classes, np.int64)
+        for batch in batches:
+            for i in range(len(batch)):
+                _, word_class = entries_of(batch.column("entries")[i], classes)
+                lengths = np.array(batch.column("lengths")[i].as_py(), np.int64)
+                train = ~np.array(batch.column("held")[i].as_py(), bool)
+                codes = np.frombuffer(batch.column("codes")[i].as_py(), "<i4")
+                path = with_ends(word_class[codes[np.repeat(train, lengths)]], lengths[train], END).astype(np.int64)
+                total += np.bincount(path[:-1] * n_classes + path[1:], minlength=len(total))
+        cells = np.flatnonzero(total)
+        yield pa.RecordBatch.from_arrays([pa.array(cells, pa.int64()), pa.array(total[cells])], ["cell", "n"])
+
+    out = np.zeros(n_classes * n_classes)
+    for r in chunks.mapInArrow(run, "cell long, n long").groupBy("cell").agg(F.sum("n").alias("n")).collect():
+        out[r.cell] = r.n
+    return out.reshape(n_classes, n_classes)
+
+
 @dataclass
 class Model:
-    """Class bigrams of all training texts, and a (word, c, item, class) table."""
+    """Class bigrams of all training texts, classes of the items, and a (word, c, item, class) table."""
 
     transitions: np.ndarray
     classes: np.ndarray
@@ -311,17 +439,25 @@ def fit(coded: DataFrame, n_classes: int = CLASSES, rounds: int | None = None) -
     classes = exchange(packed, order, n_classes, rounds)
     core_rows = spark.createDataFrame(list(core.items()), "word string, core int")
     class_of = spark.createDataFrame([(i, int(c)) for i, c in enumerate(classes)], "item int, class int")
+    drop_finished_shuffles(spark)
+    own = own_classes(word_contexts(coded, core, classes, n_classes), classes, class_table(packed, classes, n_classes))
     words = (
         counts.join(F.broadcast(core_rows), "word", "left")
         .select("word", "c", F.coalesce("core", tail_item()).alias("item"))
         .join(F.broadcast(class_of), "item")  # one row per item
+        .join(own, "word", "left")
+        .select("word", "c", "item", F.coalesce("own", "class").alias("class"))
     )
+    words = materialise(words, "word_classes")
+    drop_finished_shuffles(spark)
     by_class = words.groupBy("class").agg(F.sum("c").alias("n"), F.count(F.lit(1)).alias("v")).collect()
     tokens, different = np.zeros(n_classes), np.zeros(n_classes)
     tokens[END], different[END] = ends, float(ends > 0)
     for r in by_class:
         tokens[r["class"]], different[r["class"]] = r.n, r.v
-    return Model(class_table(packed, classes, n_classes), classes, tokens, different, n_tokens, n_words, ends, words)
+    transitions = class_bigrams(looked_up(coded, words), classes, n_classes)
+    drop_finished_shuffles(spark)
+    return Model(transitions, classes, tokens, different, n_tokens, n_words, ends, words)
 
 
 def score(coded: DataFrame, model: Model) -> DataFrame:
@@ -334,21 +470,11 @@ def score(coded: DataFrame, model: Model) -> DataFrame:
     room = np.log10(np.maximum(model.class_tokens + SMOOTH_WORD * (model.class_words + 1), 1e-300))
     base_room = np.log10(model.n_tokens + model.n_words + 1)
     ends, n_tokens, classes = model.n_ends, model.n_tokens, model.classes
-    own = coded.select("chunk", F.posexplode("words").alias("at", "word"))
-    looked = own.join(model.words, "word", "left").select(
-        "chunk", F.struct("at", F.coalesce("c", F.lit(0)).alias("c"), F.coalesce("item", tail_item()).alias("item")).alias("e")
-    )
-    entries = looked.groupBy("chunk").agg(F.collect_list("e").alias("entries"))  # one chunk's dictionary
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for i in range(len(batch)):
-                found = batch.column("entries")[i].values
-                at = np.asarray(found.field("at")) if found is not None else np.zeros(0, int)
-                c, item = np.zeros(len(at)), np.zeros(len(at), np.int64)
-                if len(at):
-                    c[at], item[at] = np.asarray(found.field("c")), np.asarray(found.field("item"))
-                word_class = classes[item]
+                c, word_class = entries_of(batch.column("entries")[i], classes)
                 lengths = np.array(batch.column("lengths")[i].as_py(), np.int64)
                 codes = np.frombuffer(batch.column("codes")[i].as_py(), "<i4")
                 c, emitted = np.append(c, ends), np.append(np.log10(c + SMOOTH_WORD) - room[word_class], np.log10(ends + SMOOTH_WORD) - room[END])
@@ -373,8 +499,7 @@ def score(coded: DataFrame, model: Model) -> DataFrame:
                 )
 
     kind = dict(coded.dtypes)["doc_ids"].removeprefix("array<")[:-1]
-    rows = coded.select("chunk", "doc_ids", "held", "lengths", "codes").join(entries, "chunk", "left")
-    return rows.select("entries", "doc_ids", "held", "lengths", "codes").mapInArrow(
+    return looked_up(coded, model.words).mapInArrow(
         run, f"doc_id {kind}, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
     )
 

@@ -183,6 +183,27 @@ def test_exchange_ends_where_no_single_move_gains(spark):
         assert gain[1:].max() < 1e-6
 
 
+def test_words_of_one_ending_have_their_own_classes(spark, monkeypatch):
+    """Words too rare for the head share an item by their ending, but each goes where its contexts fit."""
+    monkeypatch.setattr(class_lm, "CORE_SHARE", 14)
+    texts = [f"left {'xing' if i % 2 else 'king'} east right {'ying' if i % 2 else 'zing'} west" for i in range(40)]
+    texts += ["left aaa east right bbb west"] * 40
+    docs = odd.docs(spark, [odd._row(i, t) for i, t in enumerate(texts)])
+    coded = class_lm.code(docs, class_lm.held_out(folds=1, fold=5))
+    model = class_lm.fit(coded, n_classes=8)
+    words = {w.word: w for w in model.words.collect()}
+    assert len({words[w]["item"] for w in ("xing", "king", "ying", "zing")}) == 1
+    assert words["xing"]["class"] == words["king"]["class"] != words["ying"]["class"] == words["zing"]["class"]
+    table, shared = np.zeros((8, 8)), np.zeros((8, 8))
+    for t in texts:
+        path = [None, *t.split(), None]
+        for a, b in zip(path, path[1:]):
+            table[words[a]["class"] if a else 0, words[b]["class"] if b else 0] += 1
+            shared[model.classes[words[a]["item"]] if a else 0, model.classes[words[b]["item"]] if b else 0] += 1
+    assert (model.transitions == table).all()
+    assert class_lm.likelihood(table) > class_lm.likelihood(shared)
+
+
 # --- mixing
 
 
