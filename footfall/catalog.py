@@ -243,7 +243,7 @@ def tag_topn_counts(spark: SparkSession, sf: str) -> DataFrame:
 
 def sparse_click_pivot(spark: SparkSession, sf: str) -> DataFrame:
     log = sample.event_log(spark, sf)
-    return pivots.sparse_click_pivot(log, pivots.category_values(log))
+    return pivots.sparse_click_pivot(log, pivots.category_values(log, limit=None))
 
 
 def sparse_click_vectors(spark: SparkSession, sf: str) -> DataFrame:
@@ -310,7 +310,7 @@ def label_encode_favourites(spark: SparkSession, sf: str) -> DataFrame:
 
 def _features(spark: SparkSession, sf: str) -> DataFrame:
     log = sample.event_log(spark, sf)
-    return features.user_features(log, values=pivots.category_values(log), users=_base(spark, sf, label=False))
+    return features.user_features(log, values=pivots.category_values(log, limit=None), users=_base(spark, sf, label=False))
 
 
 def user_features(spark: SparkSession, sf: str) -> DataFrame:

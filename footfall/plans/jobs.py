@@ -3,14 +3,15 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from footfall.functions.cleaning import clean_events
 from footfall.functions.timeparts import decode_timestamp
 from footfall.ml.encode import LabelCodes
-from footfall.ml.trees import CrossValidation, TreeSettings
+from footfall.ml.trees import CLICKS, CrossValidation, TreeSettings
 from footfall.operators.items import favourite_type
 from footfall.operators.intervals import interval_stats
-from footfall.operators.pivots import SPARSE_ITEMS, category_values, sparse_click_vectors
+from footfall.operators.pivots import SPARSE_ITEMS, sparse_click_vectors
 from footfall.operators.users import user_base, user_labels
 from footfall.plans.features import user_features
 from footfall.plans.retention import train_and_score
@@ -42,9 +43,10 @@ def feature_job(
     """Write `<out>/features` and, for train data, `<out>/labels`; calendar features follow `time_zone`.
 
     The event file is text, so it is converted to Parquet once and read by column afterwards. Gives
-    the category values and codes fitted on this file, to be passed to the job for the test file. Where
-    there are too many values for columns, they are None, and click counts go to `<out>/sparse` as one
-    vector per user, by the codes in `<out>/item_codes` (`item_codes` in the job for the test file).
+    `values` and the codes fitted on this file, to be passed to the job for the test file. Click counts per
+    category value are one sparse vector per user, in `<out>/sparse` and in the feature table, by the codes fitted
+    on the train file (part of the codes; `item_codes` is the path of a table to use in their place). Where
+    `values` names the values, they are columns.
     """
     configure(spark, time_zone)
     with scratch_scope(spark):
@@ -53,18 +55,24 @@ def feature_job(
         if codes is None:
             LabelCodes.fit(base, DEMOGRAPHICS).save(f"{out}/codes")
             codes = LabelCodes.load(spark, f"{out}/codes")
+        vectors = None
         if values is None:
-            values = category_values(events, spec=FILE_SPEC)
-        if values is None:  # too many for columns: vectors beside the table
-            if item_codes is None:
-                clicked = events.filter(FILE_SPEC.in_slice("click"))
-                LabelCodes.fit(clicked, SPARSE_ITEMS).save(f"{out}/item_codes")
-                item_codes = f"{out}/item_codes"
-            item_table = spark.read.parquet(item_codes)
-            write_table(sparse_click_vectors(events, item_table, FILE_SPEC), f"{out}/sparse", fmt)
-        features = user_features(events, FILE_SPEC, values=values or {}, codes=codes, users=base)
+            if item_codes is not None:
+                codes = codes.only(DEMOGRAPHICS).also(LabelCodes.load(spark, item_codes))
+            elif not set(SPARSE_ITEMS) & set(codes.sizes):
+                if not train:
+                    raise ValueError("a test file takes the codes of the train file's category values")
+                LabelCodes.fit(events.filter(FILE_SPEC.in_slice("click")), SPARSE_ITEMS).save(f"{out}/item_codes")
+                codes = codes.also(LabelCodes.load(spark, f"{out}/item_codes"))
+            vectors = sparse_click_vectors(events, codes.only(SPARSE_ITEMS).codes, FILE_SPEC).toDF("UserId", "indices", "counts")
+            if fmt == "csv":  # has no arrays
+                vectors = vectors.select("UserId", *[F.to_json(c).alias(c) for c in ("indices", "counts")])
+            write_table(vectors, f"{out}/sparse", fmt)
+        features = user_features(events, FILE_SPEC, values=values or {}, codes=codes.only(DEMOGRAPHICS), users=base)
         favourites = favourite_type(events, FILE_SPEC)
         wide = features.join(favourites, "UserId").join(interval_stats(events, FILE_SPEC), "UserId")
+        if vectors is not None:
+            wide = wide.join(vectors.toDF("UserId", *CLICKS), "UserId", "left")
         write_table(wide, f"{out}/features", fmt)
         if train:
             write_table(user_labels(events, FILE_SPEC), f"{out}/labels", fmt)

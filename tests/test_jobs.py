@@ -50,6 +50,34 @@ def test_file_to_submission(spark, tmp_path):
     assert len(lines) == 30 and all(len(line.split(",")[1]) == 6 for line in lines)
 
 
+def test_click_vectors_reach_the_model_by_codes_of_train(spark, tmp_path):
+    write_events(tmp_path / "train.tsv", range(60), 1, TRAIN_COLUMNS)
+    write_events(tmp_path / "test.tsv", range(200, 220), 2, TEST_COLUMNS)
+    text = (tmp_path / "test.tsv").read_text().replace("\tT0\t", "\tA_new\t")  # sorts before all values of train
+    (tmp_path / "test.tsv").write_text(text)
+    train, test = str(tmp_path / "train"), str(tmp_path / "test")
+    values, codes = feature_job(spark, str(tmp_path / "train.tsv"), train)
+    feature_job(spark, str(tmp_path / "test.tsv"), test, train=False, values=values, codes=codes)
+    place = {(r["kind"], r["value"]): r["code"] for r in spark.read.parquet(f"{train}/item_codes").collect()}
+    n_types = sum(kind == "video_type" for kind, _ in place)
+    wanted = {}
+    at = {c: TEST_COLUMNS.index(c) for c in TEST_COLUMNS}
+    for line in text.splitlines()[1:]:
+        row = line.split("\t")
+        if row[at["click"]] == "1":
+            user = wanted.setdefault(row[at["UserId"]], {})
+            for kind, start in (("video_type", 0), ("install_channel", n_types)):
+                if (kind, row[at[kind]]) in place:
+                    i = start + place[kind, row[at[kind]]]
+                    user[i] = user.get(i, 0) + 1
+    rows = spark.read.parquet(f"{test}/features").select("UserId", "click_indices", "click_counts").collect()
+    assert {r.UserId: dict(zip(r.click_indices or [], r.click_counts or [])) for r in rows if r.click_indices} == {u: c for u, c in wanted.items() if c}
+    settings = TreeSettings(max_trees=2, depth=2, learning_rate=0.2, bins=16)
+    result = submission_job(spark, train, test, str(tmp_path / "submission"), settings=settings)
+    assert result.n_clicks == len(place)
+    assert result.models[0].numFeatures == len(result.features) + len(place)
+
+
 def test_many_values_become_vectors(spark, tmp_path, monkeypatch):
     """More values than columns are made for: the job goes on, with a vector per user beside the table."""
     monkeypatch.setattr(pivots, "MAX_COLUMNS", 4)
