@@ -7,7 +7,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -27,7 +27,7 @@ from footfall.sources import sample, sinks
 Query = Callable[[SparkSession, str], DataFrame]
 TOP_TAGS = 8
 FOLDS = 5
-SMALL_TREES = trees.TreeSettings(max_trees=8, depth=4, learning_rate=0.1, bins=32)
+TREES = trees.TreeSettings()
 
 
 def rounded(table: DataFrame, digits: int = 6) -> DataFrame:
@@ -355,62 +355,72 @@ def tail_rate_sweep(spark: SparkSession, sf: str) -> DataFrame:
 # Trees.
 
 
-def _small_table(spark: SparkSession, sf: str) -> DataFrame:
-    """A narrow user table for the tree operators: features before the label date, label, fold."""
+def _user_table(spark: SparkSession, sf: str, fitted_on: Column | None = None) -> DataFrame:
+    """All features before the label date, with click vectors by the codes of the users in `fitted_on`."""
     log = sample.before_label(spark, sf)
-    table = actions.action_counts(log).join(actions.video_length_launch_stats(log), "user_id")
-    favourite = label_encode(items.favourite_type(log).select("user_id", "fav_play_type"), ["fav_play_type"])
-    table = table.join(favourite, "user_id")
-    return folds.stratified_folds(table.join(sample.labels(spark, sf), "user_id"), k=FOLDS)
+    base = users.user_base(sample.before_label(spark, sf, demographics=True))
+    table = features.user_features(log, users=base)
+    table = table.join(items.favourite_type(log), "user_id").join(intervals.interval_stats(log), "user_id")
+    clicked = log.filter(DEFAULT.in_slice("click"))
+    codes = LabelCodes.fit(clicked if fitted_on is None else clicked.filter(fitted_on), pivots.SPARSE_ITEMS).codes
+    vectors = pivots.sparse_click_vectors(log, codes).toDF("user_id", *trees.CLICKS)
+    return materialise(table.join(vectors, "user_id", "left"), "features")
+
+
+def _model_table(spark: SparkSession, sf: str) -> tuple[DataFrame, dict[str, int], int]:
+    """What the trees of the whole job learn from: table, categories, length of the click vectors."""
+    table = _user_table(spark, sf).join(_tag_table(sample.before_label(spark, sf)), "user_id", "left")
+    codes = LabelCodes.fit(table, retention.FAVOURITES)
+    categories = retention.code_sizes(table) | {c: codes.size(c) for c in retention.FAVOURITES}
+    table = ratios.ratio_grid(codes.transform(table, retention.FAVOURITES)).join(sample.labels(spark, sf), "user_id")
+    return materialise(folds.stratified_folds(table, k=FOLDS), "users"), categories, retention.click_length(table)
 
 
-def _trees(spark: SparkSession, sf: str, chosen=(0,), names: list[str] | None = None):
-    table = materialise(_small_table(spark, sf), "users")
-    names = names or trees.feature_names(table, ("user_id", "label", "fold"))
-    return table, trees.cross_validate(table, names, SMALL_TREES, {"fav_play_type": 8}, folds=chosen)
+def _names(table: DataFrame) -> list[str]:
+    return trees.feature_names(table, ("user_id", "label", "fold"))
+
+
+def _trees(spark: SparkSession, sf: str, chosen=(0,)):
+    table, categories, n_clicks = _model_table(spark, sf)
+    return table, categories, n_clicks, trees.cross_validate(table, _names(table), TREES, categories, folds=chosen, n_clicks=n_clicks)
 
 
 def feature_vector(spark: SparkSession, sf: str) -> DataFrame:
-    table = _small_table(spark, sf)
-    names = trees.feature_names(table, ("user_id", "label", "fold"))
-    vectors = trees.assemble(table, names, ["user_id", "label"], {"fav_play_type": 8})
+    table, categories, n_clicks = _model_table(spark, sf)
+    vectors = trees.assemble(table, _names(table), ["user_id", "label"], categories, n_clicks)
     return vectors.select("user_id", "label", trees.vector_to_array("features").alias("features"))
 
 
 def gbt_auc(spark: SparkSession, sf: str) -> DataFrame:
-    _, result = _trees(spark, sf, chosen=range(FOLDS))
+    result = _trees(spark, sf, chosen=range(FOLDS))[-1]
     return spark.createDataFrame(list(enumerate(result.aucs)), "fold int, auc double")
 
 
 def feature_importance(spark: SparkSession, sf: str) -> DataFrame:
-    return _trees(spark, sf)[1].importance(spark)
+    return _trees(spark, sf)[-1].importance(spark)
 
 
 def importance_refit(spark: SparkSession, sf: str) -> DataFrame:
     """Importance of the features kept by a first model, from a second one trained on them alone."""
-    table, first = _trees(spark, sf)
+    table, categories, _, first = _trees(spark, sf)
     kept = trees.select_features(first.importance(spark), above=0.01)
-    return trees.cross_validate(table, kept, SMALL_TREES, {"fav_play_type": 8}, folds=(0,)).importance(spark)
+    table, names = trees.click_columns(table, kept)
+    return trees.cross_validate(table, names, TREES, categories, folds=(0,)).importance(spark)
 
 
 def pattern_refit(spark: SparkSession, sf: str) -> DataFrame:
     """Importance after leaving out the features whose name contains a word, but for some."""
-    table = materialise(_small_table(spark, sf), "users")
-    kept = ratios.drop_by_pattern(table, "count", keep=("show_count_all", "click_count"))
-    names = trees.feature_names(kept, ("user_id", "label", "fold"))
-    return trees.cross_validate(kept, names, SMALL_TREES, {"fav_play_type": 8}, folds=(0,)).importance(spark)
+    table, categories, n_clicks = _model_table(spark, sf)
+    kept = ratios.drop_by_pattern(table, "count", keep=("show_count_all", "click_count", *trees.CLICKS))
+    return trees.cross_validate(kept, _names(kept), TREES, categories, folds=(0,), n_clicks=n_clicks).importance(spark)
 
 
 def retention_scores(spark: SparkSession, sf: str) -> DataFrame:
     """The whole way: features before the label date, tags, encoding, grid, trees, test scores."""
-    log = sample.before_label(spark, sf)
-    base = users.user_base(sample.before_label(spark, sf, demographics=True))
-    table = features.user_features(log, users=base)
-    table = table.join(items.favourite_type(log), "user_id").join(intervals.interval_stats(log), "user_id")
-    table = materialise(table, "features")
-    train, test = table.filter(F.col("user_id") % 5 != 0), table.filter(F.col("user_id") % 5 == 0)
+    in_train = F.col("user_id") % 5 != 0
+    table = _user_table(spark, sf, in_train)
     _, scored = retention.train_and_score(
-        train, test, sample.labels(spark, sf), _tag_table(log), settings=SMALL_TREES
+        table.filter(in_train), table.filter(~in_train), sample.labels(spark, sf), _tag_table(sample.before_label(spark, sf)), settings=TREES
     )
     return scored
 
