@@ -367,7 +367,7 @@ def _user_table(spark: SparkSession, sf: str, fitted_on: Column | None = None) -
     return materialise(table.join(vectors, "user_id", "left"), "features")
 
 
-def _model_table(spark: SparkSession, sf: str) -> tuple[DataFrame, dict[str, int], int]:
+def _tree_table(spark: SparkSession, sf: str) -> tuple[DataFrame, dict[str, int], int]:
     """What the trees of the whole job learn from: table, categories, length of the click vectors."""
     table = _user_table(spark, sf).join(_tag_table(sample.before_label(spark, sf)), "user_id", "left")
     codes = LabelCodes.fit(table, retention.FAVOURITES)
@@ -381,12 +381,12 @@ def _names(table: DataFrame) -> list[str]:
 
 
 def _trees(spark: SparkSession, sf: str, chosen=(0,)):
-    table, categories, n_clicks = _model_table(spark, sf)
+    table, categories, n_clicks = _tree_table(spark, sf)
     return table, categories, n_clicks, trees.cross_validate(table, _names(table), TREES, categories, folds=chosen, n_clicks=n_clicks)
 
 
 def feature_vector(spark: SparkSession, sf: str) -> DataFrame:
-    table, categories, n_clicks = _model_table(spark, sf)
+    table, categories, n_clicks = _tree_table(spark, sf)
     vectors = trees.assemble(table, _names(table), ["user_id", "label"], categories, n_clicks)
     return vectors.select("user_id", "label", trees.vector_to_array("features").alias("features"))
 
@@ -410,7 +410,7 @@ def importance_refit(spark: SparkSession, sf: str) -> DataFrame:
 
 def pattern_refit(spark: SparkSession, sf: str) -> DataFrame:
     """Importance after leaving out the features whose name contains a word, but for some."""
-    table, categories, n_clicks = _model_table(spark, sf)
+    table, categories, n_clicks = _tree_table(spark, sf)
     kept = ratios.drop_by_pattern(table, "count", keep=("show_count_all", "click_count", *trees.CLICKS))
     return trees.cross_validate(kept, _names(kept), TREES, categories, folds=(0,), n_clicks=n_clicks).importance(spark)
 
