@@ -7,8 +7,20 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from footfall.llm import chat_format, class_lm, decontaminate, language_id, line_dedup, mixing, quality_rules, secret_scan, simhash_dedup, token_files
-from footfall.llm.text import table
+from footfall.llm import (
+    chat_format,
+    class_lm,
+    decontaminate,
+    language_id,
+    line_dedup,
+    mixing,
+    quality_rules,
+    run_detection,
+    secret_scan,
+    simhash_dedup,
+    token_files,
+)
+from footfall.llm.text import BLANKS, table
 from footfall.session import scratch_path
 
 
@@ -81,6 +93,23 @@ def mixture(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "size", "source_size", "target", taken, "source", "copies")
 
 
+def looped(docs: DataFrame) -> DataFrame:
+    """One document in ten repeats a stretch of its own words from some place on."""
+    h = F.crc32(F.col("doc_id").cast("string"))
+    words = F.when(h % 10 == 0, F.array_remove(F.split(F.coalesce("text", F.lit("")), BLANKS), ""))
+    g, n = F.floor(h / 10), F.size("words")
+    a = (F.col("g") % F.col("n")).cast("int")
+    p = (1 + F.floor((n - F.col("a")) / (3 + F.col("g") % 8))).cast("int")
+    tail = F.flatten(F.array_repeat(F.slice("words", F.col("a") + 1, F.col("p")), F.ceil((n - F.col("a")) / F.col("p")).cast("int")))
+    text = F.array_join(F.concat(F.slice("words", F.lit(1), F.col("a")), F.slice(tail, F.lit(1), n - F.col("a"))), " ")
+    rows = docs.select("doc_id", "text", words.alias("words"), g.alias("g")).withColumn("n", n).withColumn("a", F.when(n > 0, a))
+    return rows.withColumn("p", F.when(n > 0, p)).select("doc_id", F.when(n > 0, text).otherwise(F.col("text")).alias("text"))
+
+
+def periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return run_detection.digest(run_detection.runs_of(looped(table(spark, sf_dir, "documents"))))
+
+
 QUERIES = {
     "op1_line_dedup": duplicate_lines,
     "op2_token_output": token_output,
@@ -92,4 +121,5 @@ QUERIES = {
     "op8_simhash_dedup": near_copies,
     "op9_decontamination": contamination,
     "op10_mixing": mixture,
+    "op13_run_detection": periodic_runs,
 }
