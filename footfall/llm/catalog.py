@@ -14,6 +14,7 @@ from footfall.llm import (
     language_id,
     line_dedup,
     mixing,
+    ngram_join,
     quality_rules,
     run_detection,
     secret_scan,
@@ -93,6 +94,10 @@ def mixture(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "size", "source_size", "target", taken, "source", "copies")
 
 
+def linked_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.linked(table(spark, sf_dir, "documents"), size=4, percent=85).drop("text_key")
+
+
 def looped(docs: DataFrame) -> DataFrame:
     """One document in ten repeats a stretch of its own words from some place on."""
     h = F.crc32(F.col("doc_id").cast("string"))
@@ -121,5 +126,6 @@ QUERIES = {
     "op8_simhash_dedup": near_copies,
     "op9_decontamination": contamination,
     "op10_mixing": mixture,
+    "op11_ngram_join": linked_documents,
     "op13_run_detection": periodic_runs,
 }

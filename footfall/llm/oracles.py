@@ -59,4 +59,28 @@ select conv_id, count(*) as n_turns,
 from e group by conv_id
 """
 
-SQL = {"op4_quality_rules": QUALITY, "op6_chat_format": CHAT}
+LINKED = r"""
+with recursive d as (
+  select row_number() over () as r, doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') as ws
+  from documents
+),
+s as (
+  select r, doc_id, list_distinct(case when len(ws) = 0 then [] when len(ws) < 4 then [array_to_string(ws, ' ')]
+    else [array_to_string(ws[i : i + 3], ' ') for i in range(1, len(ws) - 2)] end) as g
+  from d
+),
+c as (select md5(array_to_string(list_sort(g), chr(10))) as k, any_value(g) as g, min(len(g)) as n from s where len(g) > 0 group by 1),
+e as (select k, n, unnest(g) as g from c),
+p as (
+  select a.k as x, b.k as y from e a join e b on a.g = b.g and a.k < b.k and 100 * a.n >= 85 * b.n and 100 * b.n >= 85 * a.n
+  group by a.k, b.k, a.n, b.n having 100 * count(*) >= 85 * (a.n + b.n - count(*))
+),
+l as (select x, y from p union all select y, x from p),
+reached(x, y) as (select k, k from c union select t.x, l.y from reached t join l on t.y = l.x),
+own as (select md5(array_to_string(list_sort(g), chr(10))) as k, doc_id, len(g) as n from s),
+least as (select t.x as k, min(doc_id) as component_id from reached t join own o on o.k = t.y and o.n > 0 group by t.x)
+select o.doc_id, o.n::bigint as n_shingles, case when o.n = 0 then o.doc_id else least.component_id end as component_id
+from own o left join least using (k)
+"""
+
+SQL = {"op11_ngram_join": LINKED, "op4_quality_rules": QUALITY, "op6_chat_format": CHAT}
