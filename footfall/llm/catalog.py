@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from footfall.llm import (
     chat_format,
     class_lm,
+    conversation_repair,
     decontaminate,
     language_id,
     line_dedup,
@@ -98,6 +99,23 @@ def linked_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.linked(table(spark, sf_dir, "documents"), size=4, percent=85).drop("text_key")
 
 
+def faulty(rows: DataFrame) -> DataFrame:
+    """Conversations with one row in five damaged, by a hash of its place: left out, emptied, cut short, repeated, or of another role."""
+    spaced = lambda c: F.coalesce(F.col(c).cast("string"), F.lit(" "))
+    kind = (F.crc32(F.concat_ws(":", spaced("conv_id"), spaced("turn"))) % 20).alias("kind")
+    rows = rows.select("conv_id", "turn", spaced("role").alias("role"), spaced("text").alias("text"), kind).filter("kind != 0")
+    kind = F.col("kind")
+    text = F.when(kind == 1, "").when(kind == 2, F.regexp_replace("text", "[.!?]", "")).otherwise(F.col("text"))
+    times = F.when(kind == 3, F.array(F.lit(1), F.lit(2))).otherwise(F.array(F.lit(1)))
+    role = F.when(kind == 4, "user").otherwise(F.col("role"))
+    return rows.select("conv_id", "turn", role.alias("role"), text.alias("text"), F.explode(times).alias("time")).drop("time")
+
+
+def repaired_conversations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "conversations")
+    return conversation_repair.summary(rows, conversation_repair.edits(faulty(rows)))
+
+
 def looped(docs: DataFrame) -> DataFrame:
     """One document in ten repeats a stretch of its own words from some place on."""
     h = F.crc32(F.col("doc_id").cast("string"))
@@ -127,5 +145,6 @@ QUERIES = {
     "op9_decontamination": contamination,
     "op10_mixing": mixture,
     "op11_ngram_join": linked_documents,
+    "op12_conversation_repair": repaired_conversations,
     "op13_run_detection": periodic_runs,
 }

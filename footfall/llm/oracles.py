@@ -83,4 +83,82 @@ select o.doc_id, o.n::bigint as n_shingles, case when o.n = 0 then o.doc_id else
 from own o left join least using (k)
 """
 
-SQL = {"op11_ngram_join": LINKED, "op4_quality_rules": QUALITY, "op6_chat_format": CHAT}
+# CRC-32 bit by bit: each byte is taken in at the first of its eight steps.
+_CRC32 = """xor(list_reduce(list_prepend(4294967295::bigint, flatten([[ord(c)::bigint, 0, 0, 0, 0, 0, 0, 0] for c in string_split({0}, '')])),
+  lambda a, b: xor(xor(a, b) >> 1, (xor(a, b) & 1) * 3988292384::bigint)), 4294967295)"""
+
+REPAIR = rf"""
+with recursive d as (
+  select conv_id, turn, coalesce(role, ' ') as role, coalesce(text, ' ') as text,
+         {_CRC32.format("coalesce(conv_id::varchar, ' ') || ':' || coalesce(turn::varchar, ' ')")} % 20 as kind
+  from conversations
+),
+m as (
+  select conv_id, turn, case when kind = 4 then 'user' else role end as role,
+         case when kind = 1 then '' when kind = 2 then regexp_replace(text, '[.!?]', '', 'g') else text end as text, kind
+  from d where kind <> 0
+  union all select conv_id, turn, role, text, kind from d where kind = 3
+),
+n0 as (select *, row_number() over (partition by conv_id order by turn nulls first, role, text) as i from m),
+o as (select *, row_number() over (partition by conv_id, role, text order by i) as seen from n0),
+f as (
+  select conv_id, i, turn, role, text, substr(role, 1, 1) as c,
+         case when not regexp_matches(text, '[^\x20\x09-\x0D]') then 'b' when seen > 1 then 'd'
+              when not regexp_matches(text, '[.!?][\x20\x09-\x0D]*\z') then 't' else '' end as fault
+  from o
+),
+-- s: 0 nothing yet, 1 after system, 2 after user, 3 after assistant; p: state, cost, audit and text with up to two inserts
+w as (
+  select conv_id, 1::bigint as i, 0 as s, 0::bigint as cost, '' as audit, '' as body from f where i = 1
+  union all
+  select conv_id, i + 1, s, min(cost), arg_min(audit, (cost, audit)), arg_min(body, (cost, audit))
+  from (
+    select p.conv_id, p.i, x.s, p.cost + x.cost as cost, p.audit || x.audit as audit, p.body || x.body as body
+    from (
+      select w.conv_id, w.i, unnest([
+        {{s: w.s, cost: w.cost, audit: w.audit, body: w.body}},
+        {{s: case when w.s = 2 then 3 else 2 end, cost: w.cost + 5, audit: w.audit || 'I',
+         body: w.body || chr(10) || case when w.s = 2 then 'assistant:' else 'user:' end}},
+        {{s: case when w.s = 2 then 2 else 3 end, cost: w.cost + 10, audit: w.audit || 'II',
+         body: w.body || case when w.s = 2 then chr(10) || 'assistant:' || chr(10) || 'user:' else chr(10) || 'user:' || chr(10) || 'assistant:' end}}
+      ], recursive := true) from w
+    ) p(conv_id, i, s, cost, audit, body)
+    join f on f.conv_id is not distinct from p.conv_id and f.i = p.i,
+    lateral (
+      select p.s as s, 2 as cost, 'D' as audit, '' as body
+      union all
+      select case f.c when 's' then 1 when 'u' then 2 else 3 end, case f.fault when 't' then 5 else 0 end, 'K', chr(10) || f.role || ':' || f.text
+      where f.fault not in ('b', 'd') and ((f.c = 's' and p.s = 0) or (f.c = 'u' and p.s <> 2) or (f.c = 'a' and p.s = 2))
+      union all
+      select case p.s when 2 then 3 else 2 end, case f.fault when 't' then 6 else 1 end, 'R',
+             chr(10) || case p.s when 2 then 'assistant:' else 'user:' end || f.text
+      where f.fault not in ('b', 'd')
+    ) x
+  ) group by conv_id, i, s
+),
+n as (select conv_id, max(i) as n from f group by 1),
+last as (
+  select w.conv_id, min(cost + e) as cost, arg_min(audit || a, (cost + e, audit || a)) as audit, arg_min(body || b, (cost + e, audit || a)) as body
+  from w join n on n.conv_id is not distinct from w.conv_id and w.i = n.n + 1
+  join (values (0, 0, '', ''), (1, 10, 'II', chr(10) || 'user:' || chr(10) || 'assistant:'), (2, 5, 'I', chr(10) || 'assistant:'), (3, 0, '', '')) v(s, e, a, b)
+    on v.s = w.s
+  group by w.conv_id
+),
+k as (
+  select conv_id, max(turn) - min(turn) + 1 - count(distinct turn) as gaps, count(*) filter (fault = 'b') as blank,
+         count(*) filter (fault = 'd') as duplicate, count(*) filter (fault = 't') as truncated from f group by 1
+),
+j as (
+  select conv_id, count(*) filter (p is not null and p || c not in ('su', 'ua', 'au')) as illegal
+  from (select conv_id, c, lag(c) over (partition by conv_id order by i) as p from f) group by 1
+)
+select a.conv_id, coalesce(gaps, 0)::bigint as gaps, coalesce(blank, 0)::bigint as blank, coalesce(duplicate, 0)::bigint as duplicate,
+       coalesce(truncated, 0)::bigint as truncated, coalesce(illegal, 0)::bigint as illegal, coalesce(cost, 0)::bigint as cost,
+       coalesce(audit, '') as audit, sha256(coalesce(substr(body, 2), '')) as repaired_sha256
+from (select distinct conv_id from conversations) a
+left join k on k.conv_id is not distinct from a.conv_id
+left join j on j.conv_id is not distinct from a.conv_id
+left join last on last.conv_id is not distinct from a.conv_id
+"""
+
+SQL = {"op12_conversation_repair": REPAIR, "op11_ngram_join": LINKED, "op4_quality_rules": QUALITY, "op6_chat_format": CHAT}
