@@ -15,8 +15,9 @@ from footfall.functions import stats, timeparts
 from footfall.functions.joins import attach
 from footfall.functions.cleaning import clean_events as clean
 from footfall.functions.timeparts import day_period, is_weekend, watch_gap, weekday, weekday_of
-from footfall.ml import folds, scores, trees
-from footfall.ml.encode import LabelCodes, label_encode
+from footfall.ml import folds, forest, scores, trees
+from footfall.ml.encode import LabelCodes, LabelMeans, label_encode
+from footfall.ml.forest import NODE, Forest
 from footfall.operators import actions, distribution, intervals, items, pivots, ratios, sequence, tags, users
 from footfall.plans import features, retention
 from footfall.schema import DEFAULT, DEMOGRAPHICS, SLICES, TRAIN_COLUMNS, EventSpec
@@ -367,33 +368,37 @@ def _user_table(spark: SparkSession, sf: str, fitted_on: Column | None = None) -
     return materialise(table.join(vectors, "user_id", "left"), "features")
 
 
-def _tree_table(spark: SparkSession, sf: str) -> tuple[DataFrame, dict[str, int], int]:
-    """What the trees of the whole job learn from: table, categories, length of the click vectors."""
+def _tree_table(spark: SparkSession, sf: str) -> DataFrame:
+    """What the trees of the whole job learn from."""
     table = _user_table(spark, sf).join(_tag_table(sample.before_label(spark, sf)), "user_id", "left")
-    codes = LabelCodes.fit(table, retention.FAVOURITES)
-    categories = retention.code_sizes(table) | {c: codes.size(c) for c in retention.FAVOURITES}
-    table = ratios.ratio_grid(codes.transform(table, retention.FAVOURITES)).join(sample.labels(spark, sf), "user_id")
-    return materialise(folds.stratified_folds(table, k=FOLDS), "users"), categories, retention.click_length(table)
+    table = label_encode(table, retention.FAVOURITES)
+    table = ratios.ratio_grid(table).join(sample.labels(spark, sf), "user_id")
+    return materialise(folds.stratified_folds(table, k=FOLDS), "users")
+
+
+NOMINAL = (*retention.FAVOURITES, *retention.NOMINAL)
 
 
 def _names(table: DataFrame) -> list[str]:
     return trees.feature_names(table, ("user_id", "label", "fold"))
 
 
-def _trees(spark: SparkSession, sf: str, chosen=(0,)):
-    table, categories, n_clicks = _tree_table(spark, sf)
-    return table, categories, n_clicks, trees.cross_validate(table, _names(table), TREES, categories, folds=chosen, n_clicks=n_clicks)
+def _trees(spark: SparkSession, sf: str, chosen=(0,)) -> tuple[DataFrame, trees.CrossValidation]:
+    table = _tree_table(spark, sf)
+    return table, trees.cross_validate(table, _names(table), TREES, NOMINAL, folds=chosen, clicks=True)
 
 
 def feature_vector(spark: SparkSession, sf: str) -> DataFrame:
-    table, categories, n_clicks = _tree_table(spark, sf)
-    vectors = trees.assemble(table, _names(table), ["user_id", "label"], categories, n_clicks)
+    table = _tree_table(spark, sf)
+    columns = trees.Columns.fit(table, _names(table), NOMINAL, clicks=True)
+    vectors = columns.vector(columns.prepared(table), fold="fold")
     return vectors.select("user_id", "label", trees.vector_to_array("features").alias("features"))
 
 
 def gbt_auc(spark: SparkSession, sf: str) -> DataFrame:
+    """The best prefix of each fold's trees, and its area under the curve."""
     result = _trees(spark, sf, chosen=range(FOLDS))[-1]
-    return spark.createDataFrame(list(enumerate(result.aucs)), "fold int, auc double")
+    return spark.createDataFrame(list(zip(result.folds, result.prefixes, result.aucs)), "fold int, trees int, auc double")
 
 
 def feature_importance(spark: SparkSession, sf: str) -> DataFrame:
@@ -402,17 +407,97 @@ def feature_importance(spark: SparkSession, sf: str) -> DataFrame:
 
 def importance_refit(spark: SparkSession, sf: str) -> DataFrame:
     """Importance of the features kept by a first model, from a second one trained on them alone."""
-    table, categories, _, first = _trees(spark, sf)
-    kept = trees.select_features(first.importance(spark), above=0.01)
+    table, first = _trees(spark, sf)
+    kept = [f for f in trees.select_features(first.importance(spark), above=1) if not f.startswith("click_rest_")]
     table, names = trees.click_columns(table, kept)
-    return trees.cross_validate(table, names, TREES, categories, folds=(0,)).importance(spark)
+    return trees.cross_validate(table, names, TREES, NOMINAL, folds=(0,)).importance(spark)
 
 
 def pattern_refit(spark: SparkSession, sf: str) -> DataFrame:
     """Importance after leaving out the features whose name contains a word, but for some."""
-    table, categories, n_clicks = _tree_table(spark, sf)
-    kept = ratios.drop_by_pattern(table, "count", keep=("show_count_all", "click_count", *trees.CLICKS))
-    return trees.cross_validate(kept, _names(kept), TREES, categories, folds=(0,), n_clicks=n_clicks).importance(spark)
+    kept = ratios.drop_by_pattern(_tree_table(spark, sf), "count", keep=("show_count_all", "click_count", *trees.CLICKS))
+    return trees.cross_validate(kept, _names(kept), TREES, NOMINAL, folds=(0,), clicks=True).importance(spark)
+
+
+#: A saved ensemble over action counts. Inner nodes are (feature, threshold, left, right), leaves are numbers.
+FOREST_FEATURES = ("show_count_all", "show_count", "click_count", "comment_count", "like_count", "share_count")
+FOREST = (
+    (2, 11.5, (0, 40.5, -0.25, 0.125), (4, 2.5, 0.0625, 0.375)),
+    (0, 62.5, (2, 17.5, -0.125, 0.25), (1, 44.5, 0.03125, 0.1875)),
+    (4, 3.5, (5, 0.5, -0.0625, 0.09375), 0.28125),
+    (1, 38.5, -0.15625, (2, 21.5, 0.0, (3, 0.5, 0.0625, 0.21875))),
+    (3, 0.5, (0, 55.5, -0.03125, 0.15625), 0.125),
+    (2, 24.5, (1, 50.5, 0.0625, -0.09375), (5, 1.5, 0.1875, -0.125)),
+    (0, 71.5, (4, 4.5, -0.03125, 0.0625), 0.03125),
+    (5, 2.5, (2, 14.5, 0.015625, -0.0625), 0.09375),
+)
+
+
+def _saved_forest(spark: SparkSession) -> Forest:
+    """The fixed ensemble, saved and loaded as the models of a job are."""
+    rows: list[tuple] = []
+
+    def add(tree: int, node) -> int:
+        at = len([r for r in rows if r[0] == tree])
+        rows.append((tree, at))
+        if isinstance(node, float):
+            rows[rows.index((tree, at))] = (tree, at, None, None, -1, -1, node)
+            return at
+        left = add(tree, node[2])
+        right = add(tree, node[3])
+        rows[rows.index((tree, at))] = (tree, at, node[0], node[1], left, right, None)
+        return at
+
+    for tree, node in enumerate(FOREST):
+        add(tree, node)
+    path = scratch_path(spark, "forest")
+    Forest(spark.createDataFrame(rows, NODE)).save(path)
+    return Forest.load(spark, path)
+
+
+def _forest_values(spark: SparkSession, sf: str) -> DataFrame:
+    counts = actions.action_counts(sample.event_log(spark, sf)).join(sample.labels(spark, sf), "user_id")
+    return counts.select("user_id", "label", _saved_forest(spark).tree_values(FOREST_FEATURES).alias("values"))
+
+
+def forest_scores(spark: SparkSession, sf: str) -> DataFrame:
+    """Every user's score by the whole saved ensemble, and by its first half."""
+    whole, half = forest.score("values", len(FOREST)), forest.score("values", len(FOREST) // 2)
+    return rounded(_forest_values(spark, sf).select("user_id", whole.alias("score"), half.alias("half_score")))
+
+
+def staged_auc(spark: SparkSession, sf: str) -> DataFrame:
+    return rounded(forest.staged_auc(_forest_values(spark, sf)), 9)
+
+
+def best_prefix(spark: SparkSession, sf: str) -> DataFrame:
+    return rounded(forest.best_prefix(forest.staged_auc(_forest_values(spark, sf)), patience=3), 9)
+
+
+def split_importance(spark: SparkSession, sf: str) -> DataFrame:
+    """Splits of the saved ensemble by feature, with how many users' values lie on either side of them on average."""
+    saved = _saved_forest(spark)
+    counts = actions.action_counts(sample.event_log(spark, sf))
+    cells = counts.select(F.posexplode(F.array(*[F.col(c).cast("double") for c in FOREST_FEATURES])).alias("feature", "value"))
+    cells = cells.groupBy("feature", "value").agg(F.count(F.lit(1)).alias("users"))
+    splits = saved.nodes.filter("left >= 0").select("tree", "node", "feature", "threshold")
+    below = cells.join(F.broadcast(splits), "feature").groupBy("feature").agg(
+        F.sum(F.when(F.col("value") <= F.col("threshold"), F.col("users")).otherwise(0)).alias("below"), F.sum("users").alias("users")
+    )
+    names = spark.createDataFrame(list(enumerate(FOREST_FEATURES)), "feature int, name string")
+    found = saved.split_counts().join(below, "feature").join(names, "feature")
+    return found.select(F.col("name").alias("feature"), F.col("splits").alias("importance"), "below", "users")
+
+
+def label_means(spark: SparkSession, sf: str) -> DataFrame:
+    """Favourite types as out-of-fold means of the label, for the model of fold 0 and for none."""
+    favourites = items.favourite_type(sample.event_log(spark, sf)).join(sample.labels(spark, sf), "user_id")
+    table = materialise(folds.stratified_folds(favourites, k=FOLDS), "favourites")
+    cols = [f"fav_{s}_type" for s in SLICES]
+    means = LabelMeans.fit(table, cols, k=FOLDS)
+    rows = means.attach(table, cols)
+    values = [means.value(c, f, "fold").alias(f"{c}_{n}") for c in cols for f, n in ((None, "all"), (0, "0"))]
+    return rounded(rows.select("user_id", "fold", *values))
 
 
 def retention_scores(spark: SparkSession, sf: str) -> DataFrame:
@@ -521,6 +606,11 @@ QUERIES: dict[str, Query] = {
     "tail_rate_sweep": lambda spark, sf: rounded(tail_rate_sweep(spark, sf)),
     "tail_rate_max": lambda spark, sf: rounded(scores.tail_rate_max(tail_rate_sweep(spark, sf))),
     "feature_vector": feature_vector,
+    "forest_scores": forest_scores,
+    "staged_auc": staged_auc,
+    "best_prefix": best_prefix,
+    "split_importance": split_importance,
+    "label_means": label_means,
     "gbt_auc": gbt_auc,
     "feature_importance": feature_importance,
     "importance_refit": importance_refit,

@@ -6,7 +6,7 @@ rounding turns a negative zero into zero.
 
 from __future__ import annotations
 
-from footfall.catalog import FOLDS, TOP_TAGS
+from footfall.catalog import FOLDS, FOREST, FOREST_FEATURES, TOP_TAGS
 from footfall.operators.ratios import RATIO_DENOMINATORS, RATIO_NUMERATORS
 from footfall.schema import SLICES, TRAIN_COLUMNS
 
@@ -372,6 +372,55 @@ FILE_SOURCE = {
     "play_time_length": "length_raw", "comment": "comment_raw", "like": "like_raw", "share": "share_raw",
 }
 
+def tree_sql(node) -> str:
+    """A tree of the fixed ensemble; counts are never missing."""
+    if isinstance(node, float):
+        return f"{node}::double"
+    return f"case when {FOREST_FEATURES[node[0]]} <= {node[1]} then {tree_sql(node[2])} else {tree_sql(node[3])} end"
+
+
+_FOREST_VALUES = ", ".join(f"{tree_sql(t)} as v{i}" for i, t in enumerate(FOREST))
+FORESTED = f"""{LABELS},
+counted as ({by_user(ACTIONS)}),
+valued as (select user_id, label, {_FOREST_VALUES} from counted join labels_ using (user_id)),
+staged as ({" union all ".join(f"select {k} as prefix, label, {' + '.join(f'v{i}' for i in range(k))} as s from valued" for k in range(1, len(FOREST) + 1))}),
+areas as (
+  select prefix, (sum(w) filter (where label = 1) - p * (p + 1) / 2.0) / nullif(p * n, 0)::double as auc
+  from (
+    select prefix, label, avg(r) over (partition by prefix, s) as w, count(*) filter (where label = 1) over (partition by prefix) as p,
+           count(*) filter (where label = 0) over (partition by prefix) as n
+    from (select *, row_number() over (partition by prefix order by s) as r from staged)
+  ) group by prefix, p, n
+)"""
+
+
+def _margin(k: int) -> str:
+    return "(" + " + ".join(f"v{i}" for i in range(k)) + ")"
+
+
+FEATURE_SPLITS = "(values " + ", ".join(
+    f"('{FOREST_FEATURES[n[0]]}', {n[1]}::double)" for t in FOREST for n in (lambda walk: walk(walk, t))(
+        lambda walk, n: [] if isinstance(n, float) else [n, *walk(walk, n[2]), *walk(walk, n[3])]
+    )
+) + ") f(feature, threshold)"
+SPLIT_IMPORTANCE = f"""select feature, count(distinct i) as importance, (count(*) filter (where value <= threshold))::bigint as below, count(*) as users
+from (select *, row_number() over () as i from {FEATURE_SPLITS}) join (
+  {" union all ".join(f"select '{c}' as feature, {c}::double as value from counted" for c in FOREST_FEATURES)}
+) using (feature) group by feature"""
+
+BEST_PREFIX = """, seen as (
+  select prefix, auc, arg_max(prefix, (auc, -prefix)) over (order by prefix) as best from areas
+), stopped as (select coalesce(min(prefix) filter (where prefix - best >= 3), max(prefix)) as stop from seen)"""
+
+
+def label_mean(c: str, held_out: int | None) -> str:
+    """The mean over the rows of other folds that have the row's value, drawn to the mean of all of them."""
+    outside = "b.fold <> a.fold" + ("" if held_out is None else f" and b.fold <> {held_out}")
+    same = f"{outside} and coalesce(a.{c}, 'nan') = coalesce(b.{c}, 'nan')"
+    prior = f"coalesce((select avg(label) from dealt b where {outside}), 0.5)"
+    return f"((select coalesce(sum(label), 0) from dealt b where {same}) + 20.0::double * {prior}) / ((select count(*) from dealt b where {same}) + 20.0::double)"
+
+
 SQL: dict[str, str] = {
     "load_events": q(
         "select " + ", ".join(f'{FILE_SOURCE.get(c, c)} as "{c}"' for c in TRAIN_COLUMNS) + " from ev left join people using (user_id)",
@@ -474,6 +523,17 @@ SQL: dict[str, str] = {
         f"""select {r('sum(case when a.s > b.s then 1.0 when a.s = b.s then 0.5 else 0.0 end) / count(*)', 9)}::double as auc
         from (select score as s from averaged join labels_ using (user_id) where label = 1) a,
              (select score as s from averaged join labels_ using (user_id) where label = 0) b""", FOLD_SCORES + LABELS),
+    "forest_scores": q(
+        f"select user_id, {r(f'1 / (1 + exp(-2 * {_margin(len(FOREST))}))')} as score, {r(f'1 / (1 + exp(-2 * {_margin(len(FOREST) // 2)}))')} as half_score from valued",
+        FORESTED),
+    "staged_auc": q(f"select prefix, {r('auc', 9)} as auc from areas", FORESTED),
+    "best_prefix": q(f"select best as prefix, {r('(select auc from areas where prefix = best)', 9)} as auc from seen, stopped where prefix = stop", FORESTED + BEST_PREFIX),
+    "split_importance": q(SPLIT_IMPORTANCE, FORESTED),
+    "label_means": q(
+        "select user_id, fold, " + ", ".join(f"{r(label_mean(f'fav_{s}_type', h))} as fav_{s}_type_{n}" for s in SLICES for h, n in ((None, "all"), (0, "0")))
+        + " from dealt a",
+        f"""{LABELS}, favoured as (select * from {join_all(favourites(False))} join labels_ using (user_id)),
+dealt as (select *, ((row_number() over (partition by label order by md5(user_id::varchar || '2018'), user_id) - 1) % {FOLDS})::int as fold from favoured)"""),
     "tail_rate_sweep": q(f"select {r('threshold')} as threshold, {r('p / nullif(n, 0)::double')} as rate from ({SWEEP})", LABELS),
     "tail_rate_max": q(f"select {r('threshold')} as threshold, {r('rate')} as rate from (select threshold, p / nullif(n, 0)::double as rate from ({SWEEP})) where rate is not null order by 2 desc, 1 limit 1", LABELS),
 }

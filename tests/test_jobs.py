@@ -44,8 +44,8 @@ def test_file_to_submission(spark, tmp_path):
     settings = TreeSettings(max_trees=4, depth=3, learning_rate=0.2, bins=16)
     result = submission_job(spark, train, test, str(tmp_path / "submission"), settings=settings)
     assert len(result.aucs) == 5 and result.mean_auc() > 0.7
-    assert not {"UserId", "label", "fold"} & set(result.features)
-    assert sum(f.endswith("_ratio") and "_interval_" in f for f in result.features) == 245
+    assert not {"UserId", "label", "fold"} & set(result.columns.features)
+    assert sum(f.endswith("_ratio") and "_interval_" in f for f in result.columns.features) == 245
     lines = [line for f in pathlib.Path(tmp_path / "submission").glob("*.csv") for line in f.read_text().split()]
     assert len(lines) == 30 and all(len(line.split(",")[1]) == 6 for line in lines)
 
@@ -74,8 +74,8 @@ def test_click_vectors_reach_the_model_by_codes_of_train(spark, tmp_path):
     assert {r.UserId: dict(zip(r.click_indices or [], r.click_counts or [])) for r in rows if r.click_indices} == {u: c for u, c in wanted.items() if c}
     settings = TreeSettings(max_trees=2, depth=2, learning_rate=0.2, bins=16)
     result = submission_job(spark, train, test, str(tmp_path / "submission"), settings=settings)
-    assert result.n_clicks == len(place)
-    assert result.models[0].numFeatures == len(result.features) + len(place)
+    assert len(result.columns.clicks.placed) == len(place)
+    assert result.models[0].numFeatures == len(result.columns.features) + result.columns.clicks.size
 
 
 def test_many_values_become_vectors(spark, tmp_path, monkeypatch):
