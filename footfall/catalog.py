@@ -19,6 +19,7 @@ from footfall.ml import folds, forest, scores, trees
 from footfall.ml.encode import LabelCodes, LabelMeans, label_encode
 from footfall.ml.forest import NODE, Forest
 from footfall.operators import actions, distribution, intervals, items, pivots, ratios, sequence, tags, users
+from footfall.operators.profiles import Counts
 from footfall.plans import features, retention
 from footfall.schema import DEFAULT, DEMOGRAPHICS, SLICES, TRAIN_COLUMNS, EventSpec
 from footfall.session import materialise, scratch_path
@@ -55,9 +56,10 @@ def _by_user(columns: Callable[[], list]) -> Query:
 # Sources and sinks.
 
 
-def _event_file(spark: SparkSession, sf: str) -> str:
+def _event_file(spark: SparkSession, sf: str, *order: str) -> str:
     """The event log written as an event file."""
     raw = sample.raw_events(spark, sf, demographics=True).withColumn("label", F.lit(0))
+    raw = raw.orderBy(*order) if order else raw
     path = scratch_path(spark, "events")
     sinks.write_events(raw.withColumnRenamed("user_id", "UserId"), path, TRAIN_COLUMNS)
     return path
@@ -89,7 +91,9 @@ def file_event_tags(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def load_events_limited(spark: SparkSession, sf: str) -> DataFrame:
-    return source.first_events(sample.event_log(spark, sf), 1000).select("user_id", "event_id", "play_stamp")
+    """The first rows of an event file that was written in order."""
+    path = _event_file(spark, sf, "user_id", "play_stamp", "event_id")
+    return source.load_events(spark, path, nrows=1000).select("UserId", "play_stamp", "video_id", "rec_type")
 
 
 def load_feature_table(spark: SparkSession, sf: str) -> DataFrame:
@@ -237,14 +241,13 @@ def top_tags(spark: SparkSession, sf: str) -> DataFrame:
 
 def tag_topn_counts(spark: SparkSession, sf: str) -> DataFrame:
     """Long form, since the names of the tags come from the data."""
-    log = sample.event_log(spark, sf)
-    wide = tags.tag_topn_counts(log, tags.fit_tags(log, TOP_TAGS))
+    wide = tags.fit_and_count(sample.event_log(spark, sf), TOP_TAGS)[1]
     return wide.unpivot("user_id", [c for c in wide.columns if c != "user_id"], "tag", "n")
 
 
 def sparse_click_pivot(spark: SparkSession, sf: str) -> DataFrame:
     log = sample.event_log(spark, sf)
-    return pivots.sparse_click_pivot(log, pivots.category_values(log, limit=None))
+    return pivots.sparse_click_pivot(log, pivots.category_values(log))
 
 
 def sparse_click_vectors(spark: SparkSession, sf: str) -> DataFrame:
@@ -264,7 +267,8 @@ def slice_interval(spark: SparkSession, sf: str) -> DataFrame:
 
 def _model_table(spark: SparkSession, sf: str) -> DataFrame:
     log = sample.event_log(spark, sf)
-    return features.model_features(_features(spark, sf), log)
+    counts = features.feature_counts(log)
+    return features.model_features(_features(spark, sf, counts), log, counts=counts)
 
 
 def ratio_grid(spark: SparkSession, sf: str) -> DataFrame:
@@ -309,13 +313,29 @@ def label_encode_favourites(spark: SparkSession, sf: str) -> DataFrame:
     return label_encode(favourites.select("user_id", *cols), cols)
 
 
-def _features(spark: SparkSession, sf: str) -> DataFrame:
+def _features(spark: SparkSession, sf: str, counts: Counts | None = None, compat: str = "literal") -> DataFrame:
     log = sample.event_log(spark, sf)
-    return features.user_features(log, values=pivots.category_values(log, limit=None), users=_base(spark, sf, label=False))
+    return features.user_features(log, users=_people_base(spark, sf, log, compat), counts=counts, clicks=True, compat=compat)
+
+
+def _people_base(spark: SparkSession, sf: str, log: DataFrame, compat: str = "literal") -> DataFrame:
+    """The user base from a log without demographics: these join the users, not their events."""
+    date = [F.to_date("ts").alias("play_date")] if compat == "intended" else []
+    first = users.first_per_user(log, ["play_mday", "play_yday", *date])
+    return users.join_user(first, sample.people(spark, sf).drop("location"))
 
 
 def user_features(spark: SparkSession, sf: str) -> DataFrame:
-    return rounded(_features(spark, sf), 4)
+    """Click vectors as text: places and counts, joined by commas."""
+    vectors = [F.array_join(F.col(c).cast("array<string>"), ",") for c in trees.CLICKS]
+    return rounded(_features(spark, sf).withColumns(dict(zip(trees.CLICKS, vectors))), 4)
+
+
+def user_features_intended(spark: SparkSession, sf: str) -> DataFrame:
+    """The table with every family as it is meant to be: the columns that differ from the literal ones."""
+    table = _features(spark, sf, compat="intended")
+    names = ["play_weekday", "play_isweekend", *[c for c in table.columns if c.startswith(("period_", "watch_gap_", "diff_time_", "diff2_")) or c.endswith("_sum")]]
+    return rounded(table.select("user_id", *names), 4)
 
 
 # Folds and scores.
@@ -359,13 +379,13 @@ def tail_rate_sweep(spark: SparkSession, sf: str) -> DataFrame:
 def _user_table(spark: SparkSession, sf: str, fitted_on: Column | None = None) -> DataFrame:
     """All features before the label date, with click vectors by the codes of the users in `fitted_on`."""
     log = sample.before_label(spark, sf)
-    base = users.user_base(sample.before_label(spark, sf, demographics=True))
-    table = features.user_features(log, users=base)
-    table = table.join(items.favourite_type(log), "user_id").join(intervals.interval_stats(log), "user_id")
-    clicked = log.filter(DEFAULT.in_slice("click"))
-    codes = LabelCodes.fit(clicked if fitted_on is None else clicked.filter(fitted_on), pivots.SPARSE_ITEMS).codes
-    vectors = pivots.sparse_click_vectors(log, codes).toDF("user_id", *trees.CLICKS)
-    return materialise(table.join(vectors, "user_id", "left"), "features")
+    base = _people_base(spark, sf, log)
+    counts = features.feature_counts(log)
+    cells = features.click_counts(counts)
+    codes = LabelCodes.of_values((cells if fitted_on is None else cells.filter(fitted_on)).select("kind", F.col("item").alias("value")))
+    table = features.user_features(log, users=base, counts=counts, clicks=codes)
+    table = table.join(items.favourite_type_from(counts.of("type")), "user_id").join(intervals.interval_stats(log), "user_id")
+    return materialise(table, "features")
 
 
 def _tree_table(spark: SparkSession, sf: str) -> DataFrame:
@@ -597,6 +617,7 @@ QUERIES: dict[str, Query] = {
     "favourite_type_argmax": _log(items.favourite_type, compat="intended"),
     "ratio_grid": ratio_grid,
     "user_features": user_features,
+    "user_features_intended": user_features_intended,
     # Modelling
     "label_encode": label_encode_favourites,
     "stratified_folds": stratified_folds,

@@ -133,3 +133,8 @@ def watch_gap_stats(
 ) -> DataFrame:
     """watch_gap_<slice>_{...}: days between launch and play; at most one value per day."""
     return value_stats(events, watch_gap(compat), "watch_gap_{slice}_{stat}", spec, slices)
+
+
+def watch_gap_stats_from(values: DataFrame, spec: EventSpec = DEFAULT, slices=SLICES) -> DataFrame:
+    """The same from counts per gap that were made with others."""
+    return distribution_stats(values, [spec.user], _weights("watch_gap_{slice}_{stat}", slices))

@@ -6,8 +6,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from footfall.functions.joins import is_hot, lookup
-from footfall.operators.profiles import item_counts, item_pairs
+from footfall.operators.profiles import item_counts
 from footfall.schema import DEFAULT, SLICES, EventSpec
+from footfall.session import materialise
 
 INTEREST_ITEMS = {"creator": "video_creator", "video": "video_id", "type": "video_type"}
 INTEREST_SLICES = ("play", "show", "click")
@@ -52,7 +53,12 @@ def interest_columns(which=("max", "mean", "count"), slices=INTEREST_SLICES) ->
 def repeat_interest(
     events: DataFrame, spec: EventSpec = DEFAULT, which=("max", "mean", "count"), slices=INTEREST_SLICES
 ) -> DataFrame:
-    counts = item_counts(events, interest_kinds(), spec, slices)
+    return repeat_interest_from(item_counts(events, interest_kinds(), spec, slices), spec, which, slices)
+
+
+def repeat_interest_from(
+    counts: DataFrame, spec: EventSpec = DEFAULT, which=("max", "mean", "count"), slices=INTEREST_SLICES
+) -> DataFrame:
     return counts.groupBy(spec.user).agg(*interest_columns(which, slices))
 
 
@@ -78,31 +84,31 @@ def favourite_columns(slices=SLICES, compat: str = "literal", kind: str = "type"
 def favourite_type(
     events: DataFrame, spec: EventSpec = DEFAULT, slices=SLICES, compat: str = "literal"
 ) -> DataFrame:
-    counts = item_counts(events, {"type": F.col("video_type")}, spec, slices)
-    return counts.groupBy(spec.user).agg(*favourite_columns(slices, compat))
+    return favourite_type_from(item_counts(events, {"type": F.col("video_type")}, spec, slices), spec, slices, compat)
 
 
-def item_totals(events: DataFrame, kinds: dict[str, Column]) -> DataFrame:
-    """(kind, item, total): events per item over all users."""
-    pairs = events.select(item_pairs(kinds)).filter(F.col("item").isNotNull())
-    return pairs.groupBy("kind", "item").agg(F.count(F.lit(1)).alias("total"))
+def favourite_type_from(counts: DataFrame, spec: EventSpec = DEFAULT, slices=SLICES, compat: str = "literal") -> DataFrame:
+    return counts.groupBy(spec.user).agg(*favourite_columns(slices, compat))
 
 
 def popularity_sums(events: DataFrame, spec: EventSpec = DEFAULT, compat: str = "literal") -> DataFrame:
     """<item>_sum: over the user's events, how often each event's item occurs in the whole log.
 
-    Events look their items' totals up directly. While the totals are small enough to broadcast, no
-    event is shuffled at all; beyond that (kind, item) pairs are, items with very many events apart.
+    One scan: the events are counted per user and item, and only these counts meet the items' totals.
     """
-    kinds = popularity_kinds(compat)
-    totals = item_totals(events, kinds)
-    pairs = events.select(spec.user, spec.play_stamp, item_pairs(kinds))
-    found = lookup(
-        pairs, totals, ["kind", "item"], totals.filter(is_hot("total", events)), [spec.user, spec.play_stamp]
-    )
-    first = POPULARITY_ITEMS[0]
-    sums = [F.sum(F.when(F.col("kind") == c, F.col("total"))).alias(f"{c}_sum") for c in POPULARITY_ITEMS]
-    users = found.groupBy(spec.user).agg(*sums, F.count_if(F.col("kind") == first).alias("_events"))
+    counts = item_counts(events, popularity_kinds(compat), spec, ("play",))
+    return popularity_sums_from(materialise(counts, "item_counts"), spec, compat)
+
+
+def popularity_sums_from(counts: DataFrame, spec: EventSpec = DEFAULT, compat: str = "literal") -> DataFrame:
+    """The same from a written table of counts; items that very many users met are kept apart in the lookup."""
+    totals = counts.filter(F.col("item").isNotNull()).groupBy("kind", "item")
+    totals = totals.agg(F.sum("n_play").alias("total"), F.count(F.lit(1)).alias("_users"))
+    hot = totals.filter(is_hot("_users", counts)).drop("_users")
+    found = lookup(counts.select(spec.user, "kind", "item", "n_play"), totals.drop("_users"), ["kind", "item"], hot, [spec.user])
+    n, first = F.col("n_play"), POPULARITY_ITEMS[0]
+    sums = [F.sum(F.when(F.col("kind") == c, n * F.col("total"))).alias(f"{c}_sum") for c in POPULARITY_ITEMS]
+    users = found.groupBy(spec.user).agg(*sums, F.sum(F.when(F.col("kind") == first, n)).alias("_events"))
     return users.dropna(subset=[f"{c}_sum" for c in POPULARITY_ITEMS]) if compat == "literal" else users
 
 

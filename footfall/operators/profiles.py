@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from footfall.functions.timeparts import time_of_day
 from footfall.schema import DEFAULT, SLICES, EventSpec
+from footfall.session import scratch_path
 
 
 def slice_counts(spec: EventSpec, slices=SLICES) -> list[Column]:
@@ -59,3 +60,41 @@ def item_counts(
         .groupBy(spec.user, "kind", "item")
         .agg(*slice_counts(spec, slices))
     )
+
+
+MINUTE = "minute"
+
+
+def minute_item(spec: EventSpec = DEFAULT) -> Column:
+    """The minute of an event as an item."""
+    return F.unix_seconds(F.date_trunc("minute", F.col(spec.ts)))
+
+
+class Counts:
+    """(user, kind, item, n_<slice>...) of all kinds that several families need, counted once and written by kind.
+
+    Families say which kinds they read (`interest_kinds` and the like); the log is scanned once for all of them.
+    """
+
+    def __init__(self, events: DataFrame, kinds: dict[str, Column], spec: EventSpec = DEFAULT, slices=SLICES):
+        self.spec, self.slices, self.kinds = spec, slices, tuple(kinds)
+        path = scratch_path(events.sparkSession, "counts")
+        item_counts(events, kinds, spec, slices).write.partitionBy("kind").parquet(path)
+        cells = [f"n_{s} long" for s in slices]
+        kind = events.schema[spec.user].dataType.simpleString()
+        reader = events.sparkSession.read.schema(", ".join([f"`{spec.user}` {kind}", "item string", *cells, "kind string"]))
+        self.table = reader.parquet(path)
+
+    def of(self, *kinds: str) -> DataFrame:
+        """The rows of some kinds; the others are not read."""
+        return self.table.filter(F.col("kind").isin(*kinds))
+
+    def values(self, kind: str, type_: str) -> DataFrame:
+        """(user, x, n_<slice>...) as `value_counts` gives them."""
+        return self.of(kind).select(self.spec.user, F.col("item").cast(type_).alias("x"), *[f"n_{s}" for s in self.slices])
+
+    def minutes(self) -> DataFrame:
+        """(user, minute, x, n_<slice>...) as `minute_runs` gives them."""
+        minute = F.timestamp_seconds(F.col("item").cast("long")).alias("minute")
+        runs = self.of(MINUTE).select(self.spec.user, minute, *[f"n_{s}" for s in self.slices])
+        return runs.withColumn("x", time_of_day(F.col("minute")))

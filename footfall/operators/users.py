@@ -17,9 +17,10 @@ def first_per_user(events: DataFrame, cols, spec: EventSpec = DEFAULT) -> DataFr
     return events.groupBy(spec.user).agg(first).select(spec.user, "_first.*")
 
 
-def user_base(events: DataFrame, spec: EventSpec = DEFAULT, label: str | None = None) -> DataFrame:
-    """Demographics and day of the first event, with the label where there is one."""
-    return first_per_user(events, [*BASE, *([label] if label else [])], spec)
+def user_base(events: DataFrame, spec: EventSpec = DEFAULT, label: str | None = None, compat: str = "literal") -> DataFrame:
+    """Demographics and day of the first event, with the label where there is one; `intended` with its date."""
+    date = [F.to_date(spec.ts).alias("play_date")] if compat == "intended" else []
+    return first_per_user(events, [*BASE, *([label] if label else []), *date], spec)
 
 
 def user_labels(events: DataFrame, spec: EventSpec = DEFAULT, label: str = "label") -> DataFrame:

@@ -284,6 +284,19 @@ def base(label: bool) -> str:
     return f"select user_id, {codes}, play_mday, play_yday from ({first})"
 
 
+CLICK_CELLS = """
+        select user_id, i::int as i, count(*) as n from (
+          select user_id, code + case kind when 'video_type' then 0 else (select count(distinct video_type) from ev where click = 1) end as i
+          from (select user_id, 'video_type' as kind, video_type as v from ev where click = 1
+                union all select user_id, 'install_channel', install_channel from ev where click = 1)
+          join (select kind, v, row_number() over (partition by kind order by v) - 1 as code from (
+                select distinct 'video_type' as kind, video_type as v from ev where click = 1
+                union select distinct 'install_channel', install_channel from ev where click = 1)) using (kind, v))
+        group by 1, 2"""
+CLICK_VECTORS = f"""(select user_id, string_agg(i::varchar, ',' order by i) as click_indices, string_agg(n::varchar, ',' order by i) as click_counts
+  from ({CLICK_CELLS}) group by user_id)"""
+
+
 def features_parts(digits: int) -> list[str]:
     """The families of the full table, one row per user each."""
     return [
@@ -291,7 +304,7 @@ def features_parts(digits: int) -> list[str]:
         by_user(REC_TYPES), by_user(periods(PERIOD)), by_user(DURATIONS), by_user(WATCH_RATIO),
         *[diffs(s, digits=digits) for s in SLICES],
         *slice_stats("watch_gap", "watch_gap_{slice}_{stat}", digits=digits),
-        *interest(("max", "mean", "count")), sparse(),
+        *interest(("max", "mean", "count")),
     ]
 
 
@@ -309,10 +322,18 @@ def user_features() -> str:
     )
     drop = ", ".join(f"{s}_raw" for s in SLICES)
     joined = "(" + first + ") b " + " ".join(f"left join ({p}) using (user_id)" for p in [raw, *features_parts(4)])
-    joined += f" join ({popularity(True)}) using (user_id)"
+    joined += f" left join {CLICK_VECTORS} using (user_id) join ({popularity(True)}) using (user_id)"
     return reround(f"select * exclude ({drop}), {means} from {joined}", 4)
 
 
+def user_features_intended() -> str:
+    gaps = slice_stats("gap", "watch_gap_{slice}_{stat}", "(select *, ts::date - launch_date as gap from ev)", digits=4)
+    first = "select user_id, isodow(d)::int as play_weekday, (isodow(d) > 5)::int as play_isweekend from (select user_id, arg_min(ts::date, (play_stamp, event_id)) as d from ev group by user_id)"
+    sums = f"select user_id, video_id_sum, video_tag_sum, video_creator_sum from ({popularity(False)})"
+    parts = [by_user(periods(PERIOD_INTENDED)), *[diffs(s, "minutes", digits=4) for s in SLICES], *gaps, sums]
+    return f"select * from ({first}) b " + " ".join(f"left join ({p}) using (user_id)" for p in parts)
+
+
 WEEKDAY = """case when play_mday >= 15 then ((play_mday - 15) % 7 + 1)::int end as play_weekday,
   (case when play_mday >= 15 and (play_mday - 15) % 7 + 1 <= 5 then 0 else 1 end)::int as play_isweekend"""
 
@@ -426,7 +447,8 @@ SQL: dict[str, str] = {
         "select " + ", ".join(f'{FILE_SOURCE.get(c, c)} as "{c}"' for c in TRAIN_COLUMNS) + " from ev left join people using (user_id)",
         PEOPLE,
     ),
-    "load_events_limited": q("select user_id, event_id, play_stamp from ev order by user_id, play_stamp, event_id limit 1000"),
+    "load_events_limited": q(
+        'select user_id::varchar as "UserId", play_stamp, video_id::varchar as video_id, rec_type from ev order by user_id, play_stamp, event_id limit 1000'),
     "load_feature_table": q(SLICE_COUNTS),
     "profile_events": "select count(*) as events, count(distinct user_id) as users from events",
     "user_labels": q("select * from labels_", LABELS),
@@ -506,15 +528,8 @@ SQL: dict[str, str] = {
     "favourite_type_argmax": q("select * from " + join_all(favourites(True))),
     "ratio_grid": q(ratio_grid()),
     "user_features": q(user_features(), PEOPLE),
-    "sparse_click_vectors": q("""
-        select user_id, i::int as i, count(*) as n from (
-          select user_id, code + case kind when 'video_type' then 0 else (select count(distinct video_type) from ev where click = 1) end as i
-          from (select user_id, 'video_type' as kind, video_type as v from ev where click = 1
-                union all select user_id, 'install_channel', install_channel from ev where click = 1)
-          join (select kind, v, row_number() over (partition by kind order by v) - 1 as code from (
-                select distinct 'video_type' as kind, video_type as v from ev where click = 1
-                union select distinct 'install_channel', install_channel from ev where click = 1)) using (kind, v))
-        group by 1, 2"""),
+    "user_features_intended": q(user_features_intended()),
+    "sparse_click_vectors": q(CLICK_CELLS),
     "label_encode": q("select user_id, " + ", ".join(encode(f"fav_{s}_type") for s in SLICES) + " from " + join_all(favourites(False))),
     "stratified_folds": q(f"select *, ((row_number() over (partition by label order by md5(user_id::varchar || '2018'), user_id) - 1) % {FOLDS})::int as fold from labels_", LABELS),
     "fold_average": q(f"select user_id, {r('score')} as score from averaged", FOLD_SCORES),

@@ -63,10 +63,12 @@ def raw_events(spark: SparkSession, sf_dir: str, demographics: bool = False, bef
     raw = events.selectExpr(*[c if e == c else f"{e} as `{c}`" for c, e in RAW.items()])
     if not demographics:
         return raw
-    customers = table(spark, sf_dir, "customer").selectExpr(
-        "c_custkey as user_id", *[f"{e} as {c}" for c, e in DEMOGRAPHICS.items()]
-    )
-    return attach(raw, customers, "user_id", ["event_id"])
+    return attach(raw, people(spark, sf_dir), "user_id", ["event_id"])
+
+
+def people(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Demographics by user."""
+    return table(spark, sf_dir, "customer").selectExpr("c_custkey as user_id", *[f"{e} as {c}" for c, e in DEMOGRAPHICS.items()])
 
 
 def event_log(spark: SparkSession, sf_dir: str, demographics: bool = False, before: str | None = None) -> DataFrame:

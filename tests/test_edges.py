@@ -2,10 +2,14 @@
 
 import pytest
 
+import fixtures
 from fixtures import EDGE, log, same
+from footfall import catalog
 from footfall.functions import stats
 from footfall.functions.timeparts import day_period, watch_gap
 from footfall.operators import actions, distribution, intervals, items, ratios, sequence, tags, users
+from footfall.operators.profiles import minute_runs
+from footfall.plans import features
 from pyspark.sql import functions as F
 
 
@@ -149,3 +153,31 @@ def test_join_kinds(events):
     assert users.join_user(everyone, few, how="left").count() == 2
     with pytest.raises(ValueError):
         users.join_user(everyone, few, how="outer")
+
+
+def test_tags_in_one_scan(events):
+    for k in (1, 2, 5):
+        names = tags.fit_tags(events, k)
+        found, counts = tags.fit_and_count(events, k)
+        assert found == names
+        wanted = tags.tag_topn_counts(events, names)
+        assert counts.columns == wanted.columns and counts.exceptAll(wanted).isEmpty() and wanted.exceptAll(counts).isEmpty()
+
+
+def test_a_tag_twice_in_one_event_counts_once_for_the_user(spark):
+    few = fixtures.log(spark, [dict(user_id=1, play_stamp=fixtures.stamp(9), video_tag="a$a$b"), dict(user_id=2, play_stamp=fixtures.stamp(9), video_tag="c")])
+    assert {tuple(r) for r in tags.user_tag_counts(few).collect()} == {(1, "a", 2, 1), (1, "b", 1, 1), (2, "c", 1, 1)}
+    assert tags.fit_and_count(few, 2)[0] == ["b", "c"]
+
+
+@pytest.mark.parametrize("compat", ["literal", "intended"])
+def test_shared_counts_give_the_families(spark, compat):
+    skewed = fixtures.log(spark, fixtures.skewed_rows(n=400))
+    counts = features.feature_counts(skewed, compat=compat)
+    equal = lambda a, b: a.columns == b.columns and a.exceptAll(b).isEmpty() and b.exceptAll(a).isEmpty()
+    assert equal(items.repeat_interest_from(counts.of(*items.INTEREST_ITEMS)), items.repeat_interest(skewed))
+    assert equal(items.popularity_sums_from(counts.of(*items.POPULARITY_ITEMS), compat=compat), items.popularity_sums(skewed, compat=compat))
+    assert equal(items.favourite_type_from(counts.of("type"), compat=compat), items.favourite_type(skewed, compat=compat))
+    assert equal(counts.minutes(), minute_runs(skewed))
+    rounded = lambda t: catalog.rounded(t, 9)
+    assert equal(rounded(distribution.watch_gap_stats_from(counts.values("gap", "int"))), rounded(distribution.watch_gap_stats(skewed, compat=compat)))

@@ -3,7 +3,8 @@
 import pytest
 
 from footfall.catalog import QUERIES
-from footfall.operators import actions, distribution, intervals, items, sequence
+from footfall.operators import actions, distribution, intervals, items, sequence, users
+from footfall.plans import features
 from footfall.sources import sample
 
 SF = "/root/testdata/sf0.001"
@@ -72,6 +73,23 @@ def test_scan_reads_only_what_is_needed(events):
     assert "ReadSchema: struct<user_id:bigint,event_type:string,value:double,props:string>" in text
 
 
+def test_the_log_is_scanned_three_times(spark):
+    """User base, plain aggregates, shared counts: what is read later is written by the third."""
+    base = users.first_per_user(sample.event_log(spark, SF), ["play_mday", "play_yday"]).join(sample.people(spark, SF), "user_id", "left")
+    assert plan(base).count("events.parquet") == 1
+    assert plan(features.user_features(sample.event_log(spark, SF), users=base, clicks=True)).count("events.parquet") == 1
+
+
+def test_no_event_is_shuffled_for_popularity(spark):
+    """With broadcasts off, only counts per user and item meet the totals."""
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    try:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+        assert "events.parquet" not in plan(items.popularity_sums(sample.event_log(spark, SF)))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
 def test_time_filter_reaches_the_scan(spark):
     text = plan(actions.action_counts(sample.before_label(spark, SF)))
     pushed = text[text.index("PushedFilters") :].split("]")[0]

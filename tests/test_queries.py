@@ -33,4 +33,4 @@ def test_query_equals_sql(spark, con, name):
 def test_entry(spark):
     table = entry_point.entry(spark)
     assert table.count() == 15
-    assert len(table.columns) == 205 + 14
+    assert len(table.columns) == 205 + 2

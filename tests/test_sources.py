@@ -120,3 +120,22 @@ def test_scratch_of_a_scope_is_deleted(spark):
         path = table.inputFiles()[0].removeprefix("file:")
         assert pathlib.Path(path).exists()
     assert not pathlib.Path(path).parent.exists()
+
+
+@pytest.mark.parametrize("split", ["200", "128m"])
+def test_first_rows_follow_the_files(spark, tmp_path, split):
+    rows = [["u"] * len(TRAIN_COLUMNS) for _ in range(60)]
+    for i, row in enumerate(rows):
+        for name, value in (("play_stamp", i), ("label", 0), ("launch_time", 1), ("video_length", 1)):
+            row[TRAIN_COLUMNS.index(name)] = str(value)
+    for k, part in enumerate((rows[:25], rows[25:31], rows[31:])):
+        text = "\n".join("\t".join(r) for r in [TRAIN_COLUMNS, *part]) + "\n"
+        (tmp_path / f"part-{k}.tsv").write_text(text)
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    try:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", split)
+        for n in (0, 1, 24, 25, 26, 31, 45, 60, 99):
+            got = source.load_events(spark, str(tmp_path), nrows=n)
+            assert sorted(r["play_stamp"] for r in got.select("play_stamp").collect()) == list(range(min(n, 60))), n
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
