@@ -263,6 +263,15 @@ def test_lines_of_odd_rows(spark):
     assert line_dedup.line_counts(odd.docs(spark, [])).count() == 0
 
 
+@pytest.mark.parametrize("doc", [2, None])
+def test_rows_of_one_id_keep_their_own_lines(spark, doc):
+    shared = "a line that an earlier document has word for word"
+    rows = [(1 if doc else None, shared), (doc, "unique words that nobody else has at all in here\nand more"), (doc, shared + "\nsomething else of its own")]
+    docs = spark.createDataFrame([("x", *r) for r in rows], "d string, doc_id long, text string")
+    kept = {r.text for r in line_dedup.deduplicated(docs).collect()}
+    assert rows[1][1] in kept and len([t for t in kept if shared in t]) == 1 and any("something else of its own" in t for t in kept)
+
+
 # --- secrets
 
 
