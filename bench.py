@@ -1,7 +1,7 @@
 """Times the headline queries; prints one JSON line.
 
 All queries run once to warm up the JVM, then each RUNS times into a sink that discards the rows;
-the median counts. BENCH_SF_DIR and BENCH_CPUS choose the data and the number of threads.
+the median counts. Those in ONCE train models for minutes and run a single time. BENCH_SF_DIR and BENCH_CPUS choose the data and the number of threads.
 """
 
 from __future__ import annotations
@@ -33,11 +33,13 @@ HEADLINE = [
     "stratified_folds",
     "auc_rank",
     "tail_rate_sweep",
+    "staged_auc",
     "user_features",
     "ratio_grid",
     "gbt_auc",
 ]
 RUNS = 3
+ONCE = {"gbt_auc"}
 
 
 def seconds(spark, sf: str, name: str) -> float:
@@ -51,9 +53,11 @@ def main() -> None:
     spark = local_session(os.environ.get("BENCH_CPUS", "8"))
     names, times = sys.argv[1:] or HEADLINE, {}
     for name in names:
-        seconds(spark, sf, name)
+        if name not in ONCE:
+            seconds(spark, sf, name)
     for name in names:
-        times[name] = round(statistics.median(seconds(spark, sf, name) for _ in range(RUNS)), 3)
+        runs = 1 if name in ONCE else RUNS
+        times[name] = round(statistics.median(seconds(spark, sf, name) for _ in range(runs)), 3)
     total = round(sum(times.values()), 3)
     print(json.dumps({"metric": "headline_queries_total", "value": total, "unit": "sec", "queries": times, "sf": sf}))
     spark.stop()

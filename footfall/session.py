@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import contextlib
+import contextvars
 import tempfile
 import uuid
 from collections.abc import Iterator
@@ -64,23 +65,24 @@ def scratch_path(spark: SparkSession, name: str) -> str:
         spark.sparkContext.setCheckpointDir(root)
         spark.conf.set("spark.checkpoint.dir", root)
     path = f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex}"
-    for scope in _scopes:
+    for scope in _scopes.get():
         scope.append(path)
     return path
 
 
-_scopes: list[list[str]] = []
+#: The open scopes of this thread or task: jobs that run side by side don't see each other's.
+_scopes: contextvars.ContextVar[tuple[list[str], ...]] = contextvars.ContextVar("scopes", default=())
 
 
 @contextlib.contextmanager
 def scratch_scope(spark: SparkSession) -> Iterator[None]:
     """Delete the scratch tables made inside the block at its end; what it returns must not read them."""
     paths: list[str] = []
-    _scopes.append(paths)
+    token = _scopes.set((*_scopes.get(), paths))
     try:
         yield
     finally:
-        _scopes.remove(paths)
+        _scopes.reset(token)
         jvm = spark.sparkContext._jvm
         for path in paths:
             folder = jvm.org.apache.hadoop.fs.Path(path)

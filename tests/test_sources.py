@@ -122,6 +122,21 @@ def test_scratch_of_a_scope_is_deleted(spark):
     assert not pathlib.Path(path).parent.exists()
 
 
+def test_scopes_of_threads_are_apart(spark):
+    import threading
+
+    other: list[str] = []
+
+    def job():
+        other.append(materialise(spark.range(2), "other").inputFiles()[0].removeprefix("file:"))
+
+    with scratch_scope(spark):
+        thread = threading.Thread(target=job)
+        thread.start()
+        thread.join()
+    assert pathlib.Path(other[0]).exists()
+
+
 @pytest.mark.parametrize("split", ["200", "128m"])
 def test_first_rows_follow_the_files(spark, tmp_path, split):
     rows = [["u"] * len(TRAIN_COLUMNS) for _ in range(60)]
