@@ -504,9 +504,9 @@ def split_importance(spark: SparkSession, sf: str) -> DataFrame:
     below = cells.join(F.broadcast(splits), "feature").groupBy("feature").agg(
         F.sum(F.when(F.col("value") <= F.col("threshold"), F.col("users")).otherwise(0)).alias("below"), F.sum("users").alias("users")
     )
-    names = spark.createDataFrame(list(enumerate(FOREST_FEATURES)), "feature int, name string")
-    found = saved.split_counts().join(below, "feature").join(names, "feature")
-    return found.select(F.col("name").alias("feature"), F.col("splits").alias("importance"), "below", "users")
+    found = saved.split_counts().join(below, "feature")
+    name = F.get(F.array(*[F.lit(c) for c in FOREST_FEATURES]), F.col("feature"))
+    return found.select(name.alias("feature"), F.col("splits").alias("importance"), "below", "users")
 
 
 def label_means(spark: SparkSession, sf: str) -> DataFrame:
