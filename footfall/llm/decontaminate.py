@@ -4,7 +4,8 @@ Seeds are runs of `k` words. Their rolling Karp-Rabin hashes over all documents
 benchmark's hashes; what passes is joined with the benchmark's seeds, which are compared word by word
 later. A document and an item go on to tiling only where the item's seeds found cover enough of it:
 tiles of at least `k` words cannot cover more. Tiling marks the longest unmarked common runs first and
-so counts passages in any order. Only the runs of a document that hold a seed travel.
+so counts passages in any order. Only the runs of a document that hold a seed travel. An item shorter than
+`k` words is its own seed and tile: it counts where it stands in one piece.
 """
 
 from __future__ import annotations
@@ -116,7 +117,7 @@ def tile(document: list[list[str]], item: list[str], k: int) -> int:
 
 
 def _benchmark(benchmark: DataFrame, k: int) -> tuple[DataFrame, DataFrame]:
-    """(item_id, words) of items with k words or more, and (seed, item_id, at)."""
+    """(item, item_id, words) of items with a word, and (item, at, seed): runs of k words, or the whole shorter item."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -124,10 +125,10 @@ def _benchmark(benchmark: DataFrame, k: int) -> tuple[DataFrame, DataFrame]:
             ids, words, seeds = [], [], []
             for t in range(len(batch)):
                 own = codes[text == t]
-                if len(own) >= k:
+                if len(own):
                     ids.append(batch.column("item_id")[t])
                     words.append([names[c] for c in own])
-                    seeds.append(seed_hashes(hashes[own], k).view(np.int64))
+                    seeds.append(seed_hashes(hashes[own], min(k, len(own))).view(np.int64))
             yield pa.RecordBatch.from_arrays(
                 [pa.array(ids, batch.column("item_id").type), pa.array(words, pa.list_(pa.string())), pa.array(seeds, pa.list_(pa.int64()))],
                 ["item_id", "words", "seeds"],
@@ -135,7 +136,8 @@ def _benchmark(benchmark: DataFrame, k: int) -> tuple[DataFrame, DataFrame]:
 
     kind = dict(benchmark.dtypes)["item_id"]
     rows = benchmark.select("item_id", "text").mapInArrow(run, f"item_id {kind}, words array<string>, seeds array<long>")
-    rows = materialise(rows.withColumn("item", F.xxhash64("item_id", "words")).dropDuplicates(["item"]), "benchmark")
+    rows = rows.dropDuplicates(["item_id", "words"])
+    rows = materialise(rows.withColumn("item", F.struct("item_id", F.xxhash64("words").alias("key"))), "benchmark")
     return rows.select("item", "item_id", "words"), rows.select("item", F.posexplode("seeds").alias("at", "seed"))
 
 
@@ -156,34 +158,37 @@ def coverage(
 ) -> DataFrame:
     """(doc_id, text_key, item_id, n_words, covered): items whose tiles cover `threshold` of their words in a text.
 
-    Null and empty texts and items with fewer than k words have no tiles. Rows with the same id and text
-    count once; so do items with the same id and words.
+    An item with fewer than k words counts where a text has all of it in one piece. Null and empty texts and
+    items without a word have no tiles. Rows with the same id and text count once; so do items with the same
+    id and words.
     """
     spark = docs.sparkSession
     items, seeds = _benchmark(benchmark, k)
     bits, shift = _bit_set(seeds)
     sent = spark.sparkContext.broadcast(bits)  # 2 MB at most
+    tile_words = F.least(F.lit(k), F.size("words"))
+    lengths = sorted(r.n for r in items.select(tile_words.alias("n")).distinct().collect())  # k numbers at most
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         passes = np.unpackbits(sent.value, bitorder="little").view(bool)
         for batch in batches:
             for part in steps(batch):
                 codes, text, names, hashes = tokens(part.column("text"))
-                found = seed_hashes(hashes[codes], k) if len(codes) else np.zeros(0, np.uint64)
-                inside = text[: len(found)] == text[len(text) - len(found) :]
-                hit = np.nonzero(passes[found >> np.uint64(shift)] & inside)[0]
-                rows, runs_of, seeds_of = [], [], []
-                if len(hit):
-                    cut = np.nonzero((np.diff(hit) > 1) | (np.diff(text[hit]) > 0))[0] + 1
-                    for run in np.split(hit, cut):
-                        t = int(text[run[0]])
-                        words = [names[c] for c in codes[run[0] : run[-1] + k]]
-                        if not rows or rows[-1] != t:
-                            rows.append(t)
-                            runs_of.append([])
-                            seeds_of.append([])
-                        runs_of[-1].append(words)
-                        seeds_of[-1] += found[run].view(np.int64).tolist()
+                inside, seeds_at = np.zeros(len(codes), bool), []  # words of passing runs, and their hashes
+                for n in lengths:
+                    found = seed_hashes(hashes[codes], n) if len(codes) else np.zeros(0, np.uint64)
+                    whole = text[: len(found)] == text[len(text) - len(found) :]
+                    hit = np.nonzero(passes[found >> np.uint64(shift)] & whole)[0]
+                    inside[(hit[:, None] + np.arange(n)).ravel()] = True
+                    seeds_at.append((text[hit], found[hit].view(np.int64)))
+                at = np.nonzero(inside)[0]
+                rows = np.unique(text[at])
+                runs_of = [[] for _ in rows]
+                for run in np.split(at, np.nonzero((np.diff(at) > 1) | (np.diff(text[at]) > 0))[0] + 1) if len(at) else []:
+                    runs_of[np.searchsorted(rows, text[run[0]])].append([names[c] for c in codes[run]])
+                # A passage repeated within a text sends its seeds once.
+                pairs = np.unique(np.concatenate([np.zeros((2, 0), np.int64), *map(np.stack, seeds_at)], axis=1), axis=1)
+                seeds_of = np.split(pairs[1], np.nonzero(np.diff(pairs[0]))[0] + 1) if len(rows) else []
                 take = pa.array(rows, pa.int64())
                 yield pa.RecordBatch.from_arrays(
                     [part.column("doc_id").take(take), part.column("text_key").take(take), pa.array(runs_of, pa.list_(pa.list_(pa.string()))),
@@ -195,11 +200,12 @@ def coverage(
     scanned = in_batches(docs).select("doc_id", "text", text_key().alias("text_key")).mapInArrow(
         scan, f"doc_id {kind}, text_key long, runs array<array<string>>, seeds array<long>"
     )
-    rows = materialise(scanned.withColumn("row", F.xxhash64("doc_id", "text_key")).dropDuplicates(["row"]), "seed_runs")
+    distinct = scanned.dropDuplicates(["doc_id", "text_key"])
+    rows = materialise(distinct.withColumn("row", F.struct("doc_id", "text_key")), "seed_runs")
     hits = rows.select("row", F.explode("seeds").alias("seed")).join(seeds, "seed").groupBy("row", "item").agg(
         F.collect_set("at").alias("at")  # as many as the item has words, at most
     )
-    reach = F.size(F.array_distinct(F.flatten(F.transform("at", lambda a: F.sequence(a, a + (k - 1))))))
+    reach = F.size(F.array_distinct(F.flatten(F.transform("at", lambda a: F.sequence(a, a + (tile_words - 1))))))
     pairs = (
         hits.join(items, "item")
         .filter(reach >= F.lit(threshold) * F.size("words"))
@@ -210,7 +216,7 @@ def coverage(
     def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             words = batch.column("words").to_pylist()
-            covered = [tile(runs, item, k) for runs, item in zip(batch.column("runs").to_pylist(), words)]
+            covered = [tile(runs, item, min(k, len(item))) for runs, item in zip(batch.column("runs").to_pylist(), words)]
             take = pa.array([i for i, (c, item) in enumerate(zip(covered, words)) if c >= threshold * len(item)], pa.int64())
             yield pa.RecordBatch.from_arrays(
                 [*[batch.column(c).take(take) for c in ("doc_id", "text_key", "item_id")],

@@ -166,6 +166,16 @@ def test_contamination_of_odd_rows(spark):
     assert decontaminate.decontaminated(docs, bench.filter("false")).count() == len(odd.ROWS) + 1
 
 
+def test_items_shorter_than_a_seed_count_in_one_piece(spark):
+    bench = spark.createDataFrame([(1, "alpha beta, gamma"), (2, "one two three four"), (3, "整句中文"), (4, odd.WORDS)], "item_id long, text string")
+    texts = ["so Alpha BETA gamma it is", "alpha beta or gamma", "beta gamma alpha beta", "here: one two three four.", "two three four one two three", "a 整句中文 b",
+             "整句 中文", "one two three four alpha beta gamma " * 3]
+    docs = odd.docs(spark, [odd._row(i, t) for i, t in enumerate(texts)])
+    found = {r.doc_id: (r.contaminated, r.n_items, r.best_coverage) for r in decontaminate.contamination(docs, bench).collect()}
+    hit, clean = (True, 1, 1.0), (False, 0, 0.0)
+    assert found == {0: hit, 1: clean, 2: clean, 3: hit, 4: clean, 5: hit, 6: clean, 7: (True, 2, 1.0)}
+
+
 # --- language
 
 
