@@ -9,7 +9,6 @@ character is a boundary.
 
 from __future__ import annotations
 
-from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -21,15 +20,17 @@ from pyspark.sql.types import DoubleType, StringType, StructField, StructType
 
 from footfall.llm.text import in_batches, steps
 
-#: Bounds of the fit: labelled texts and landmarks per language, characters of a text used to fit, letters.
+#: Bounds of the fit: labelled texts and landmarks per language. Texts up to FIT_CHARS characters come first; longer ones
+#: fill up, the shortest first, while all of a language stay within TRAIN_TEXTS * FIT_CHARS, one text at least.
 TRAIN_TEXTS = 300
 LANDMARKS = 24
 FIT_CHARS = 20_000
-LETTERS = 120
 ORDERS = 3
 RIDGE = 1e-3
 BATCH = 256
 CODE_POINTS = 0x110000
+#: Places of a look-up table; beyond them the same keys are searched in order.
+TABLE_PLACES = 1 << 23
 _TAGS = [StructField("lang_pred", StringType()), StructField("score", DoubleType())]
 NONE = "und"
 BOUNDARY, UNKNOWN = 0, 1
@@ -37,12 +38,12 @@ BOUNDARY, UNKNOWN = 0, 1
 
 @dataclass
 class Model:
-    """`letters`: code of every code point; `index`: n-gram code to column, per order; `columns`: columns
+    """`letters`: code of every code point; `index`: per order, what `_look_up` finds columns in; `columns`: columns
     per order; `landmarks`: their normalised presence, columns x landmarks; `weights`: landmarks x languages."""
 
     languages: list[str]
     letters: np.ndarray
-    index: list[np.ndarray]
+    index: list[tuple[bool, np.ndarray]]
     columns: list[int]
     landmarks: np.ndarray
     weights: np.ndarray
@@ -55,27 +56,45 @@ def _codes(texts: list[str], letters: np.ndarray) -> tuple[np.ndarray, np.ndarra
     return letters[points], np.repeat(np.arange(len(low)), [len(t) for t in low])
 
 
-def _grams(codes: np.ndarray, text: np.ndarray, n: int, base: int) -> tuple[np.ndarray, np.ndarray]:
+def _keys(codes: np.ndarray, text: np.ndarray, n: int, base: int, before: np.ndarray | None) -> np.ndarray:
+    """Key of each n-gram: the column of its first n - 1 letters and its last letter; -1 where those have no
+    column or the n-gram leaves its text."""
+    if before is None:
+        return codes.astype(np.int64)
     size = max(0, len(codes) - n + 1)
-    grams = np.zeros(size, np.int64)
-    for j in range(n):
-        grams *= base
-        grams += codes[j : j + size]
-    inside = text[:size] == text[n - 1 :][:size]
-    return grams[inside], text[:size][inside]
+    keys = before[:size].astype(np.int64) * base + codes[n - 1 :]
+    keys[(before[:size] < 0) | (text[:size] != text[n - 1 :])] = -1
+    return keys
+
+
+def _index(keys: np.ndarray, places: int) -> tuple[bool, np.ndarray]:
+    """The ordered keys as a table of all places, the last one for unknown keys, or as they are."""
+    if places > TABLE_PLACES:
+        return False, keys
+    table = np.full(places + 1, -1, np.int32)
+    table[keys] = np.arange(len(keys))
+    return True, table
+
+
+def _look_up(index: tuple[bool, np.ndarray], keys: np.ndarray) -> np.ndarray:
+    """Column of each key, -1 for unknown ones."""
+    tabled, known = index
+    if tabled:
+        return known[keys]
+    at = np.minimum(np.searchsorted(known, keys), len(known) - 1)
+    return np.where(known[at] == keys, at, -1)
 
 
 def _presence(texts: list[str], model: Model) -> tuple[np.ndarray, np.ndarray]:
     """Normalised presence, texts x columns, and whether a text has a letter."""
     codes, text = _codes(texts, model.letters)
     out = np.zeros((len(texts), sum(model.columns)), np.float32)
-    base, first = int(model.letters.max()) + 1, 0
+    base, first, columns = int(model.letters.max()) + 1, 0, None
     for n, (index, width) in enumerate(zip(model.index, model.columns), 1):
-        grams, rows = _grams(codes, text, n, base)
-        columns = index[grams]
+        columns = _look_up(index, _keys(codes, text, n, base, columns))
         known = columns >= 0
         part = out[:, first : first + width]
-        part[rows[known], columns[known]] = 1
+        part[text[: len(columns)][known], columns[known]] = 1
         part /= np.sqrt(np.maximum(1, part.sum(axis=1, keepdims=True)) * len(model.columns))
         first += width
     lettered = np.zeros(len(texts), bool)
@@ -86,20 +105,19 @@ def _presence(texts: list[str], model: Model) -> tuple[np.ndarray, np.ndarray]:
 def fit(texts: list[str], languages: list[str], landmarks: int = LANDMARKS, orders: int = ORDERS, ridge: float = RIDGE) -> Model:
     """Solve the regressions on the given texts; the first `landmarks` of each language are landmarks."""
     names = sorted(set(languages))
-    seen = Counter(c for t in texts for c in t.lower() if c.isalpha())
-    alphabet = sorted(c for c, _ in sorted(seen.items(), key=lambda x: (-x[1], x[0]))[:LETTERS])
-    letters = np.array([UNKNOWN if chr(i).isalpha() else BOUNDARY for i in range(CODE_POINTS)], np.uint8)
-    letters[[ord(c) for c in alphabet]] = np.arange(2, len(alphabet) + 2)
+    alphabet = sorted({c for t in texts for c in set(t.lower()) if c.isalpha()})
     base = len(alphabet) + 2
+    letters = np.array([UNKNOWN if chr(i).isalpha() else BOUNDARY for i in range(CODE_POINTS)], np.min_scalar_type(base))
+    letters[[ord(c) for c in alphabet]] = np.arange(2, base)
     chosen = [i for name in names for i in [j for j, x in enumerate(languages) if x == name][:landmarks]]
     codes, text = _codes([texts[i] for i in chosen], letters)
-    index, columns = [], []
+    index, columns, before = [], [], None
     for n in range(1, orders + 1):
-        found = np.unique(_grams(codes, text, n, base)[0])
-        table = np.full(base**n, -1, np.int32)
-        table[found] = np.arange(len(found))
-        index.append(table)
+        keys = _keys(codes, text, n, base, before)
+        found = np.unique(keys[keys >= 0])
+        index.append(_index(found, base * max([1, *columns[-1:]])))
         columns.append(len(found))
+        before = _look_up(index[-1], keys)
     model = Model(names, letters, index, columns, np.zeros(0), np.zeros(0))
     model.landmarks = np.ascontiguousarray(_presence([texts[i] for i in chosen], model)[0].T)
     between = (model.landmarks.T @ model.landmarks).astype(np.float64)
@@ -136,23 +154,52 @@ def predict(texts: list[str | None], model: Model) -> tuple[list[str], np.ndarra
 def fit_table(
     docs: DataFrame, train: Column, label: str = "lang", per_language: int = TRAIN_TEXTS, max_chars: int = FIT_CHARS
 ) -> Model:
-    """Fit on up to `per_language` labelled rows of each language, of at most `max_chars` characters, taken
-    by a hash of the id; the driver holds no more than these."""
+    """Fit on up to `per_language` labelled rows of each language, taken by a hash of the id.
+
+    Texts of at most `max_chars` characters come first. A language that has too few of them takes longer ones, the
+    shortest first, while its texts stay within `per_language * max_chars` characters, and one at least. The driver
+    holds no more than these. Of long rows with one length and one hash of the id, as repeated rows, the least text
+    is taken.
+    """
+    size = F.length("text")
     rows = docs.filter(train & F.col(label).isNotNull() & F.col("text").isNotNull())
-    order = F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30))
-    counts = {r[label]: r["count"] for r in rows.groupBy(label).count().collect()}
+    rows = rows.select("doc_id", F.col(label).alias("label"), "text", size.alias("n"), F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30)).alias("o"))
+    counts = rows.groupBy("label").agg(F.count(F.lit(1)).alias("all"), F.count_if(F.col("n") <= max_chars).alias("short")).collect()
     if not counts:
         return Model([], np.zeros(0), [], [], np.zeros(0), np.zeros(0))
-    share = F.lit(0)
-    for name, n in counts.items():  # three times as many as wanted, for texts that are too long
-        share = F.when(F.col(label) == name, min(1 << 30, int(3 * per_language / n * (1 << 30)) + 1)).otherwise(share)
-    some = rows.filter((order < share) & (F.length("text") <= max_chars)).select("doc_id", label, "text", order.alias("o"))
+
+    def sampled(wanted: dict[str, tuple[int, int]]) -> Column:
+        """Three times as many of each language as wanted, of those there are."""
+        share = F.lit(0)
+        for name, (n, there) in wanted.items():
+            share = F.when(F.col("label") == name, min(1 << 30, int(3 * n / there * (1 << 30)) + 1)).otherwise(share)
+        return F.col("o") < share
+
+    some = rows.filter(sampled({r.label: (per_language, r.short) for r in counts if r.short}) & (F.col("n") <= max_chars))
     taken = (
-        some.groupBy(label)
+        some.groupBy("label")
         .agg(F.slice(F.sort_array(F.collect_list(F.struct("o", "doc_id", "text"))), 1, per_language).alias("rows"))
         .collect()
     )
-    pairs = sorted((r[label], x["o"], x["text"]) for r in taken for x in r["rows"])
+    pairs = sorted((r.label, x["o"], x["text"]) for r in taken for x in r["rows"])
+    few = {r.label: (per_language - r.short, r["all"] - r.short) for r in counts if r.short < min(per_language, r["all"])}
+    if few:
+        used = {name: sum(len(p[2]) for p in pairs if p[0] == name) for name in few}
+        longer = rows.filter(sampled(few) & (F.col("n") > max_chars))
+        listed = longer.select("label", "n", "o").distinct().orderBy("n", "o").collect()  # no texts
+        last = {}
+        for r in listed:
+            n, there = few[r.label]
+            used[r.label] += r.n
+            few[r.label] = (n - 1, there)
+            alone = r.label not in last and not any(p[0] == r.label for p in pairs)
+            if alone or (few[r.label][0] >= 0 and used[r.label] <= per_language * max_chars):
+                last[r.label] = (r.n, r.o)
+        cut = F.lit(False)
+        for name, (n, o) in last.items():
+            cut = cut | ((F.col("label") == name) & ((F.col("n") < n) | ((F.col("n") == n) & (F.col("o") <= o))))
+        chosen = longer.filter(cut).groupBy("label", "n", "o").agg(F.min("text").alias("text")).collect()
+        pairs = sorted([*pairs, *((r.label, r.o, r.text) for r in chosen)])
     return fit([p[2] for p in pairs], [p[0] for p in pairs])
 
 

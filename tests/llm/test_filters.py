@@ -200,6 +200,32 @@ def test_language_of_odd_rows(spark):
     assert language_id.tag(odd.docs(spark, []), model).count() == 0
 
 
+def test_language_of_long_texts_and_other_scripts(spark):
+    """A language whose labelled texts are all long is learned, and scripts with many letters are told apart."""
+    made = {
+        "en": ["the dog runs home and sleeps", "a cat and the other dog rest"],
+        "xx": ["gurma tolvek zhorin blakta wenpo " * 30],
+        "ru": ["собака бежит домой и спит", "кошка и другая собака спят"],
+        "zh": ["".join(chr(0x4E00 + (i * 7 + j * 13) % 900) for j in range(200)) for i in range(2)],
+        "ko": ["".join(chr(0xAC00 + (i * 7 + j * 13) % 900) for j in range(200)) for i in range(2)],
+    }
+    rows = [(i, t, lang) for i, (lang, t) in enumerate((lang, t) for lang, ts in made.items() for t in ts * 10)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    for per_language in (300, 4):
+        model = language_id.fit_table(docs, language_id.F.lit(True), per_language=per_language, max_chars=250)
+        assert model.languages == sorted(made)
+        probes = ["zhorin gurma wenpo", "the cat sleeps", "другая кошка бежит", chr(0x4E00 + 13) + chr(0x4E00 + 26) + chr(0x4E00 + 39), made["ko"][1][9:30]]
+        assert language_id.predict(probes, model)[0] == ["xx", "en", "ru", "zh", "ko"]
+
+
+def test_search_and_tables_find_the_same_columns(monkeypatch):
+    texts, names = [odd.WORDS, "wörds ünd 中文 " * 4, odd.LONG[:3000]], ["en", "de", "en"]
+    wanted = language_id.predict([*texts, "other letters ж"], language_id.fit(texts, names))
+    monkeypatch.setattr(language_id, "TABLE_PLACES", 0)
+    found = language_id.predict([*texts, "other letters ж"], language_id.fit(texts, names))
+    assert found[0] == wanted[0] and np.array_equal(found[1], wanted[1])
+
+
 def test_kernel_is_the_mean_cosine_of_presence():
     model = language_id.fit(["abc abd", "xyz xy", "abab", "zzyx"], ["p", "q", "p", "q"], landmarks=2)
     kernel = language_id._presence(["abc"], model)[0] @ model.landmarks
