@@ -7,6 +7,8 @@ ranges of their id; a task cuts its range in segments, and a segment in blocks o
 
 from __future__ import annotations
 
+import functools
+import json
 import re
 import sys
 import types
@@ -27,20 +29,49 @@ END_ID = 2
 BLOCK_IDS = 1 << 18
 SEGMENT_IDS = 1 << 22
 CACHE_ENTRIES = 250_000
-#: The tokenizer's own split pattern, and its strings that become ids before any splitting.
+#: The steps of the tokenizer file for which words can be cut here, and the blanks it removes.
 PIECES = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
-MARKS = ("<|startoftext|>", "<|endoftext|>")
+NORMALIZERS = [{"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": "\\s+"}, "content": " "}, {"type": "Lowercase"}]
+PRE_TOKENIZERS = [
+    {"type": "Split", "pattern": {"Regex": PIECES}, "behavior": "Removed", "invert": True},
+    {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": False},
+]
 ENDINGS = ".,;:!?"
 
 BLOCK = "struct<first:long,n_ids:long,doc_ids:array<long>,lengths:array<long>,payload:binary>"
 SCHEMA = f"shard int, segment int, n_ids long, table binary, blocks array<{BLOCK}>"
 
 
+@functools.lru_cache(maxsize=4)
+def cut_here(path: str) -> tuple[bool, tuple[str, ...]]:
+    """Whether words of this tokenizer file can be cut as `WordIds` does, and its strings that become ids unsplit."""
+    with open(path, encoding="utf-8") as file:
+        steps_of = json.load(file)
+    added, model = steps_of["added_tokens"] or [], steps_of["model"]
+    if model["type"] == "Unigram":
+        ids = [len(model["vocab"]) - 1]
+    else:
+        ids = model["vocab"].values()
+    if max([*ids, *(t["id"] for t in added)], default=0) >= 1 << 16:
+        raise ValueError(f"{path} has ids beyond 65535, which the files' 16-bit symbols cannot hold")
+    marks = tuple(t["content"] for t in added)
+    apart = (
+        steps_of["normalizer"] == {"type": "Sequence", "normalizers": NORMALIZERS}
+        and steps_of["pre_tokenizer"] == {"type": "Sequence", "pretokenizers": PRE_TOKENIZERS}
+        and model["type"] == "BPE"
+        and not model["dropout"]
+        and not any(t["normalized"] or t["single_word"] or t["lstrip"] or t["rstrip"] for t in added)
+        and not any(c.isspace() for m in marks for c in m)
+    )
+    return apart, marks
+
+
 class WordIds:
-    """Ids of single words by the tokenizers library; words without blanks are encoded apart from each other.
+    """Ids of texts by the tokenizers library, for any tokenizer file with at most 65,536 ids.
 
-    Latin words are lower-cased and cut here by the tokenizer's pattern, so that a piece met before costs
-    one look-up; any other word goes through the library as it is.
+    Where the file's own steps are `NORMALIZERS` and `PRE_TOKENIZERS` (`apart`), words between blanks are encoded
+    apart from each other: Latin words are lower-cased and cut here by the same pattern, so that a piece met before
+    costs one look-up; any other word goes through the library as it is. With any other file whole texts do.
     """
 
     def __init__(self, path: str):
@@ -48,6 +79,9 @@ class WordIds:
         from tokenizers import Tokenizer
 
         self.whole = Tokenizer.from_file(path)
+        self.whole.no_truncation()
+        self.whole.no_padding()
+        self.apart, self.marks = cut_here(path)
         self.model, self.pieces = self.whole.model, regex.compile(PIECES).findall
         self.plain = re.compile(r"[\x21-\x7EÀ-ÖØ-öø-įĲ-ňŊ-ž]+").fullmatch
         self.known: dict[str, bytes] = {}
@@ -63,7 +97,7 @@ class WordIds:
             return self.piece(word.lower())
         if word[:-1].isalpha() and word[-1] in ENDINGS:
             return self.piece(word[:-1].lower()) + self.piece(word[-1])
-        if not self.plain(word) or any(m in word for m in MARKS):
+        if not self.plain(word) or any(m in word for m in self.marks):
             return self.by_library(word)
         return b"".join(map(self.piece, self.pieces(word.lower())))
 
@@ -91,6 +125,9 @@ def word_ids(path: str) -> WordIds:
 
 def token_ids(texts: pa.Array, words: WordIds, end_id: int = END_ID) -> tuple[np.ndarray, np.ndarray]:
     """All ids of the texts in a row, each text followed by the end id, and each text's number of ids."""
+    if not words.apart:
+        coded = [words.by_library(t.as_py() or "") + np.array([end_id], "<u2").tobytes() for t in texts]
+        return np.frombuffer(b"".join(coded), "<u2"), np.fromiter(map(len, coded), np.int64, len(coded)) // 2
     flat, counts = split_words(texts, lower=False)
     codes, different = encoded(flat)
     coded = [words.ids(w) for w in different.to_pylist()]

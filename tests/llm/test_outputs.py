@@ -81,6 +81,21 @@ def test_any_text_is_cut_like_the_whole(whole, text):
     assert ids.tolist() == whole.encode(text, add_special_tokens=False).ids + [2]
 
 
+@pytest.mark.parametrize("name", ["byte_bpe_50k.json", "word_bpe_49k.json"])
+def test_ids_of_any_tokenizer_are_the_librarys(spark, name):
+    path = catalog.tokenizer_path(name)
+    whole, words = Tokenizer.from_file(path), token_files.WordIds(path)
+    assert words.apart == (name == "word_bpe_49k.json")
+    texts = [*STRANGE, "Hello  world, this IS a\n\ttest <|endoftext|> it's", None]
+    ids, sizes = token_files.token_ids(pa.array(texts), words)
+    wanted = [whole.encode(t or "", add_special_tokens=False).ids + [2] for t in texts]
+    assert sizes.tolist() == [len(w) for w in wanted] and ids.tolist() == [i for w in wanted for i in w]
+    folder = scratch_path(spark, "any_tokens")
+    token_files.write_tokens(odd.docs(spark), folder, path)
+    read = collections.Counter((r.doc_id, tuple(r.ids)) for r in token_files.read_tokens(spark, folder).collect())
+    assert read == collections.Counter((d[0], tuple(whole.encode(d[1] or "", add_special_tokens=False).ids + [2])) for d in odd.ROWS)
+
+
 def plain_index(whole, rows):
     at, out = 0, []
     for doc, text in rows:
