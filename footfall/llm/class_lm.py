@@ -18,13 +18,14 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from footfall.llm.text import drop_finished_shuffles, encoded, gathered, give_back, in_batches, split_words
-from footfall.session import materialise, scratch_path
+from footfall.session import materialise, scratch_path, scratch_scope
 
 CLASSES = 64
 CORE_SHARE = 4096
@@ -283,13 +284,17 @@ def exchange(packed: DataFrame, order: np.ndarray, n_classes: int = CLASSES, rou
     return classes
 
 
-CELL = np.dtype([("cell", "<u2"), ("n", "<u4")])
+#: Counts of one cell; larger ones take several.
+CELL = np.dtype([("cell", "<u2"), ("n", "u1")])
+PLACE = np.dtype([("at", "<i4"), ("c", "<i8"), ("class", "<i2")])
+SLICE_WORDS, HELD_PLACES, JOINED_ROWS = 1 << 16, 1 << 19, 1 << 10
 
 
 def word_contexts(coded: DataFrame, core: dict[str, int], classes: np.ndarray, n_classes: int) -> DataFrame:
-    """(word, cells) of each chunk's words that are not in the core, of training texts.
+    """(word, chunk, at, n, cells) of each chunk's words: place in its dictionary, training count, contexts.
 
-    Cells count the class after (0 ...), the class before (n_classes ...) and the word itself after (2 * n_classes).
+    Cells count the class after (0 ...), the class before (n_classes ...) and the word itself after (2 * n_classes);
+    words of the core have none, as their classes are known.
     """
     sent = coded.sparkSession.sparkContext.broadcast(core)  # at most CORE_SHARE words
     width = 2 * n_classes + 1
@@ -298,7 +303,7 @@ def word_contexts(coded: DataFrame, core: dict[str, int], classes: np.ndarray, n
         known = sent.value
         for batch in batches:
             for i in range(len(batch)):
-                words = batch.column("words")[i].values
+                words, chunk = batch.column("words")[i].values, batch.column("chunk")[i].as_py()
                 items = [known.get(w) or tail_of(w) for w in words.to_pylist()]
                 kind = np.int32 if (len(items) + 1) * width < 1 << 31 else np.int64
                 items = np.append(np.array(items, kind), END).astype(kind)
@@ -314,86 +319,168 @@ def word_contexts(coded: DataFrame, core: dict[str, int], classes: np.ndarray, n
                     [x[after] * width + word_class[y[after]], y[before] * width + n_classes + word_class[x[before]], twice * width + 2 * n_classes]
                 )
                 keys, n = np.unique(keys, return_counts=True)
-                own, starts = np.unique(keys // width, return_index=True)
-                cells = np.empty(len(keys), CELL)
-                cells["cell"], cells["n"] = keys % width, n
-                ends = (np.append(starts, len(keys)) * CELL.itemsize).astype(np.int32)
-                data = pa.BinaryArray.from_buffers(pa.binary(), len(own), [None, pa.py_buffer(ends), pa.py_buffer(cells.tobytes())])
-                yield pa.RecordBatch.from_arrays([words.take(pa.array(own, pa.int64())), data], ["word", "cells"])
+                times = (n + 254) // 255
+                cells = np.empty(int(times.sum()), CELL)
+                cells["cell"], cells["n"] = np.repeat(keys % width, times), 255
+                cells["n"][np.cumsum(times) - 1] = n - 255 * (times - 1)
+                ends = np.searchsorted(np.repeat(keys // width, times), np.arange(len(words) + 1))
+                n_train = batch.column("n_train")[i].values
+                for first in range(0, len(words), SLICE_WORDS):
+                    stop = min(first + SLICE_WORDS, len(words))
+                    offsets = ((ends[first : stop + 1] - ends[first]) * CELL.itemsize).astype(np.int32)
+                    data = cells[ends[first] : ends[stop]].tobytes()
+                    yield pa.RecordBatch.from_arrays(
+                        [
+                            words.slice(first, stop - first),
+                            pa.array(np.full(stop - first, chunk, np.int64)),
+                            pa.array(np.arange(first, stop, dtype=np.int32)),
+                            n_train.slice(first, stop - first),
+                            pa.BinaryArray.from_buffers(pa.binary(), stop - first, [None, pa.py_buffer(offsets), pa.py_buffer(data)]),
+                        ],
+                        ["word", "chunk", "at", "n", "cells"],
+                    )
             give_back()
 
-    return coded.select("words", "held", "lengths", "codes").mapInArrow(run, "word string, cells binary")
+    rows = coded.select("chunk", "words", "n_train", "held", "lengths", "codes")
+    return rows.mapInArrow(run, "word string, chunk long, at int, n long, cells binary")
 
 
-def own_classes(found: DataFrame, classes: np.ndarray, table: np.ndarray) -> DataFrame:
-    """(word, own) of the words of at least `OWN_COUNT` tokens: the class that their contexts fit best."""
-    k, least = len(table), least_gain(table)
-    least_count = OWN_COUNT
+def cells_of(found: pa.BinaryArray) -> tuple[np.ndarray, np.ndarray]:
+    """Cells of all rows, and the number of each row's."""
+    offsets = np.frombuffer(found.buffers()[1], "<i4")[found.offset : found.offset + len(found) + 1]
+    size = int(offsets[-1] - offsets[0])
+    data = np.frombuffer(found.buffers()[2], np.uint8)[offsets[0] : offsets[-1]].view(CELL) if size else np.zeros(0, CELL)
+    return data, np.diff(offsets) // CELL.itemsize
 
-    def best(word: str, parts: list[bytes]) -> int | None:
-        cells = np.frombuffer(b"".join(parts), CELL)
-        n = np.bincount(cells["cell"], cells["n"], 2 * k + 1)
-        right, left, own = n[:k], n[k : 2 * k], n[2 * k]
-        if left.sum() < least_count:  # one class before each token
-            return None
-        g = int(classes[tail_of(word)])
-        gain = gains(g, right, left, own, table)
+
+def placed(found: DataFrame, core: dict[str, int], classes: np.ndarray, table: np.ndarray) -> DataFrame:
+    """Counts and classes of all words, sent back to the chunks in one pass over the rows of each word.
+
+    Rows with a `chunk` hold `PLACE` records of that chunk, any number of rows a chunk; rows without one hold the
+    training words (word, c, item, class). A word of at least `OWN_COUNT` tokens that is not of the core has the
+    class that its contexts fit best; rarer and unseen words have their item's class.
+    """
+    sent = found.sparkSession.sparkContext.broadcast(core)  # at most CORE_SHARE words
+    k, least, least_count = len(table), least_gain(table), OWN_COUNT
+    width = 2 * k + 1
+
+    def best(g: int, cells: np.ndarray) -> int:
+        gain = gains(g, cells[:k], cells[k : 2 * k], cells[2 * k], table)
         gain[END] = -np.inf
         return int(gain.argmax()) if gain.max() > least else g
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def batch_of(rows: list[tuple[str, int | None]]) -> pa.RecordBatch:
-            rows = [r for r in rows if r[1] is not None]
-            return pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.string()), pa.array([r[1] for r in rows], pa.int32())], ["word", "own"])
-
-        word, parts = None, []
-        for batch in batches:
-            out = []
-            for w, cells in zip(batch.column("word").to_pylist(), batch.column("cells").to_pylist()):
-                if w != word and parts:
-                    out.append((word, best(word, parts)))
-                    parts = []
-                word = w
-                parts.append(cells)
-            yield batch_of(out)
-        if parts:
-            yield batch_of([(word, best(word, parts))])
-
-    # A chunk gives a word one row, so even a word of every text has few.
-    return found.repartition("word").sortWithinPartitions("word").mapInArrow(run, "word string, own int")
-
-
-def looked_up(coded: DataFrame, words: DataFrame) -> DataFrame:
-    """Chunk rows with `entries`: place, training count, shared item and class (-1 if unseen) of their words."""
-    own = coded.select("chunk", F.posexplode("words").alias("at", "word"))
-    looked = own.join(words, "word", "left").select(
-        "chunk",
-        F.struct("at", F.coalesce("c", F.lit(0)).alias("c"), F.coalesce("item", tail_item()).alias("item"), F.coalesce("class", F.lit(-1)).alias("class")).alias("e"),
-    )
-    entries = looked.groupBy("chunk").agg(F.collect_list("e").alias("entries"))  # one chunk's dictionary
-    rows = coded.select("chunk", "doc_ids", "held", "lengths", "codes").join(entries, "chunk", "left")
+        known = sent.value
+        places, chunks, rows, held = [], [], [], 0
+
+        def settled(words: list[str], c: np.ndarray, cells: np.ndarray) -> np.ndarray:
+            items = np.array([known.get(w) or tail_of(w) for w in words], np.int64)
+            out = classes[items]
+            for i in np.flatnonzero((c >= least_count) & (items <= TAILS)):
+                out[i] = best(int(out[i]), cells[i])
+            rows.extend(r for r in zip(words, c.tolist(), items.tolist(), out.tolist()) if r[1])
+            return out
+
+        def keep(chunk: np.ndarray, at: np.ndarray, c: np.ndarray | int, word_class: np.ndarray | int) -> int:
+            own = np.empty(len(chunk), PLACE)
+            own["at"], own["c"], own["class"] = at, c, word_class
+            places.append(own)
+            chunks.append(chunk)
+            return len(chunk)
+
+        def sent_back() -> pa.RecordBatch:
+            chunk, place = np.concatenate([np.zeros(0, np.int64), *chunks]), np.concatenate([np.zeros(0, PLACE), *places])
+            order = np.argsort(chunk, kind="stable")
+            chunk, place = chunk[order], place[order]
+            own, starts = np.unique(chunk, return_index=True)
+            parts = [p.tobytes() for p in np.split(place, starts[1:])] if len(own) else []
+            lists = [[list(x) for x in zip(*rows)] if rows else [[], [], [], []]]
+            none = [None] * len(own)
+            out = pa.RecordBatch.from_arrays(
+                [
+                    pa.array([*own.tolist(), None], pa.int64()),
+                    pa.array([*parts, None], pa.binary()),
+                    *(pa.array([*none, x], pa.list_(t)) for x, t in zip(lists[0], (pa.string(), pa.int64(), pa.int32(), pa.int32()))),
+                ],
+                ["chunk", "places", "word", "c", "item", "class"],
+            )
+            places.clear(), chunks.clear(), rows.clear()
+            return out
+
+        word, c_last, cells_last, open_rows = None, 0, None, []  # the word whose rows may go on
+        for batch in joined(batches):
+            words, n = batch.column("word"), len(batch)
+            starts = np.append(0, np.flatnonzero(np.asarray(pc.not_equal(words.slice(1), words.slice(0, n - 1)))) + 1)
+            group = np.repeat(np.arange(len(starts)), np.diff(np.append(starts, n)))
+            chunk, at = np.asarray(batch.column("chunk")), np.asarray(batch.column("at"))
+            c = np.add.reduceat(np.asarray(batch.column("n")), starts)
+            data, sizes = cells_of(batch.column("cells"))
+            cells = np.bincount(np.repeat(group, sizes) * width + data["cell"], data["n"], len(starts) * width).reshape(-1, width)
+            different, end = words.take(pa.array(starts)).to_pylist(), starts[-1]
+            if word == different[0]:
+                c[0] += c_last
+                cells[0] += cells_last
+            elif word is not None:
+                own = settled([word], np.array([c_last]), cells_last[None])
+                held += sum(keep(*r, c_last, own[0]) for r in open_rows)
+                open_rows = []
+            if end:
+                own = settled(different[:-1], c[:-1], cells[:-1])
+                held += sum(keep(*r, c[0], own[0]) for r in open_rows)
+                held += keep(chunk[:end], at[:end], c[group[:end]], own[group[:end]])
+                open_rows = []
+            word, c_last, cells_last = different[-1], int(c[-1]), cells[-1].copy()
+            open_rows.append((chunk[end:].copy(), at[end:].copy()))
+            if held >= HELD_PLACES:
+                yield sent_back()
+                held = 0
+        if word is not None:
+            own = settled([word], np.array([c_last]), cells_last[None])
+            for r in open_rows:
+                keep(*r, c_last, own[0])
+        yield sent_back()
+        give_back()
+
+    kinds = "chunk long, places binary, word array<string>, c array<long>, item array<int>, class array<int>"
+    # A chunk gives a word one row.
+    return found.repartition("word").sortWithinPartitions("word").mapInArrow(run, kinds)
+
+
+def joined(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Batches that aren't empty, small ones joined."""
+    held: list[pa.RecordBatch] = []
+    for batch in batches:
+        held += [batch] if len(batch) else []
+        if sum(map(len, held)) >= JOINED_ROWS:
+            yield pa.concat_batches(held)
+            held = []
+    if held:
+        yield pa.concat_batches(held)
+
+
+def looked_up(coded: DataFrame, back: DataFrame) -> DataFrame:
+    """Chunk rows with `entries`: the records of their words, in parts."""
+    own = back.filter("chunk is not null").groupBy("chunk").agg(F.collect_list("places").alias("entries"))  # one chunk's dictionary
+    rows = coded.select("chunk", "doc_ids", "held", "lengths", "codes").join(own, "chunk", "left")
     return rows.select("entries", "doc_ids", "held", "lengths", "codes")
 
 
-def entries_of(found: pa.ListScalar, classes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def entries_of(found: pa.ListScalar) -> tuple[np.ndarray, np.ndarray]:
     """Training counts and classes of a chunk's words."""
-    found = found.values
-    at = np.asarray(found.field("at")) if found is not None else np.zeros(0, int)
-    c, word_class = np.zeros(len(at)), np.zeros(len(at), np.int64)
-    if len(at):
-        own = np.asarray(found.field("class"))
-        c[at], word_class[at] = np.asarray(found.field("c")), np.where(own < 0, classes[np.asarray(found.field("item"))], own)
+    place = np.concatenate([np.zeros(0, PLACE), *(np.frombuffer(p, PLACE) for p in found.as_py() or [])])
+    c, word_class = np.zeros(len(place)), np.zeros(len(place), np.int64)
+    c[place["at"]], word_class[place["at"]] = place["c"], place["class"]
     return c, word_class
 
 
-def class_bigrams(chunks: DataFrame, classes: np.ndarray, n_classes: int) -> np.ndarray:
+def class_bigrams(chunks: DataFrame, n_classes: int) -> np.ndarray:
     """Class bigrams of training texts, by the final class of each word."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(n_classes * n_classes, np.int64)
         for batch in batches:
             for i in range(len(batch)):
-                _, word_class = entries_of(batch.column("entries")[i], classes)
+                _, word_class = entries_of(batch.column("entries")[i])
                 lengths = np.array(batch.column("lengths")[i].as_py(), np.int64)
                 train = ~np.array(batch.column("held")[i].as_py(), bool)
                 codes = np.frombuffer(batch.column("codes")[i].as_py(), "<i4")
@@ -410,7 +497,8 @@ def class_bigrams(chunks: DataFrame, classes: np.ndarray, n_classes: int) -> np.
 
 @dataclass
 class Model:
-    """Class bigrams of all training texts, classes of the items, and a (word, c, item, class) table."""
+    """Class bigrams of all training texts, classes of the items, a (word, c, item, class) table, and the chunks
+    with the counts and classes of their words."""
 
     transitions: np.ndarray
     classes: np.ndarray
@@ -420,15 +508,18 @@ class Model:
     n_words: int
     n_ends: int
     words: DataFrame
+    chunks: DataFrame
 
 
 def fit(coded: DataFrame, n_classes: int = CLASSES, rounds: int | None = None) -> Model:
     spark = coded.sparkSession
+    size = coded.agg(
+        F.coalesce(F.sum(F.expr("aggregate(zip_with(held, lengths, (h, n) -> if(h, 0L, n)), 0L, (a, n) -> a + n)")), F.lit(0)).alias("n"),
+        F.coalesce(F.sum(F.expr("size(filter(held, h -> not h))")), F.lit(0)).alias("ends"),
+    ).first()
+    ends, n_tokens = size.ends, size.n + size.ends
     entries = coded.select(F.explode(F.arrays_zip("words", "n_train")).alias("e")).select("e.words", "e.n_train").filter("n_train > 0")
-    counts = materialise(entries.groupBy(F.col("words").alias("word")).agg(F.sum("n_train").alias("c")), "word_counts")
-    ends = coded.select(F.explode("held").alias("h")).filter("not h").count()
-    size = counts.agg(F.coalesce(F.sum("c"), F.lit(0)).alias("n"), F.count(F.lit(1)).alias("v")).first()
-    n_tokens, n_words = size.n + ends, size.v + (ends > 0)
+    counts = entries.groupBy(F.col("words").alias("word")).agg(F.sum("n_train").alias("c"))
     frequent = counts.filter(F.col("c") * CORE_SHARE >= n_tokens).collect()  # at most CORE_SHARE by construction
     frequent = sorted(frequent, key=lambda r: (-r.c, r.word))
     core = {r.word: TAILS + 1 + i for i, r in enumerate(frequent)}
@@ -437,31 +528,25 @@ def fit(coded: DataFrame, n_classes: int = CLASSES, rounds: int | None = None) -
     packed = materialise(contexts(pairs), "item_contexts")
     order = np.concatenate([[END], np.arange(TAILS + 1, n_items), np.arange(1, TAILS + 1)])
     classes = exchange(packed, order, n_classes, rounds)
-    core_rows = spark.createDataFrame(list(core.items()), "word string, core int")
-    class_of = spark.createDataFrame([(i, int(c)) for i, c in enumerate(classes)], "item int, class int")
     drop_finished_shuffles(spark)
-    own = own_classes(word_contexts(coded, core, classes, n_classes), classes, class_table(packed, classes, n_classes))
-    words = (
-        counts.join(F.broadcast(core_rows), "word", "left")
-        .select("word", "c", F.coalesce("core", tail_item()).alias("item"))
-        .join(F.broadcast(class_of), "item")  # one row per item
-        .join(own, "word", "left")
-        .select("word", "c", "item", F.coalesce("own", "class").alias("class"))
-    )
-    words = materialise(words, "word_classes")
+    contexts_of = word_contexts(coded, core, classes, n_classes)
+    back = materialise(placed(contexts_of, core, classes, class_table(packed, classes, n_classes)), "word_places")
     drop_finished_shuffles(spark)
+    training = F.explode(F.arrays_zip("word", "c", "item", "class")).alias("w")
+    words = back.filter("chunk is null").select(training).select("w.*")
     by_class = words.groupBy("class").agg(F.sum("c").alias("n"), F.count(F.lit(1)).alias("v")).collect()
     tokens, different = np.zeros(n_classes), np.zeros(n_classes)
     tokens[END], different[END] = ends, float(ends > 0)
     for r in by_class:
         tokens[r["class"]], different[r["class"]] = r.n, r.v
-    transitions = class_bigrams(looked_up(coded, words), classes, n_classes)
+    chunks = materialise(looked_up(coded, back), "word_classes")
     drop_finished_shuffles(spark)
-    return Model(transitions, classes, tokens, different, n_tokens, n_words, ends, words)
+    transitions, n_words = class_bigrams(chunks, n_classes), int(different.sum())
+    return Model(transitions, classes, tokens, different, n_tokens, n_words, ends, words, chunks)
 
 
-def score(coded: DataFrame, model: Model) -> DataFrame:
-    """(doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score) of every coded text.
+def score(model: Model) -> DataFrame:
+    """(doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score) of every text of the model's chunks.
 
     Scores are log10 probabilities; a null or empty text is its end alone.
     """
@@ -469,12 +554,12 @@ def score(coded: DataFrame, model: Model) -> DataFrame:
     steps_ = np.log10((model.transitions + SMOOTH_CLASS) / (model.transitions.sum(1, keepdims=True) + SMOOTH_CLASS * k))
     room = np.log10(np.maximum(model.class_tokens + SMOOTH_WORD * (model.class_words + 1), 1e-300))
     base_room = np.log10(model.n_tokens + model.n_words + 1)
-    ends, n_tokens, classes = model.n_ends, model.n_tokens, model.classes
+    ends, n_tokens = model.n_ends, model.n_tokens
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for i in range(len(batch)):
-                c, word_class = entries_of(batch.column("entries")[i], classes)
+                c, word_class = entries_of(batch.column("entries")[i])
                 lengths = np.array(batch.column("lengths")[i].as_py(), np.int64)
                 codes = np.frombuffer(batch.column("codes")[i].as_py(), "<i4")
                 c, emitted = np.append(c, ends), np.append(np.log10(c + SMOOTH_WORD) - room[word_class], np.log10(ends + SMOOTH_WORD) - room[END])
@@ -498,18 +583,26 @@ def score(coded: DataFrame, model: Model) -> DataFrame:
                     ["doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"],
                 )
 
-    kind = dict(coded.dtypes)["doc_ids"].removeprefix("array<")[:-1]
-    return looked_up(coded, model.words).mapInArrow(
+    kind = dict(model.chunks.dtypes)["doc_ids"].removeprefix("array<")[:-1]
+    return model.chunks.mapInArrow(
         run, f"doc_id {kind}, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
     )
 
 
 def score_documents(docs: DataFrame, held_out: Column, n_classes: int = CLASSES, rounds: int | None = None) -> DataFrame:
-    """Learn from the rows that are not held out, and score all rows."""
-    path = scratch_path(docs.sparkSession, "coded_texts")
-    code(docs, held_out).write.option("compression", "zstd").parquet(path)
-    coded = docs.sparkSession.read.parquet(path)
-    return score(coded, fit(coded, n_classes, rounds))
+    """Learn from the rows that are not held out, and score all rows; tables made on the way are deleted.
+
+    One result row per row of `docs`, so repeated rows have equal ones and count as often in training. Columns
+    other than `doc_id` and `text` are not read; null and empty texts are their end alone; an empty table has an
+    empty result. A text of any length is one row of a chunk. Words that tie in a gain take the class of least number.
+    """
+    spark = docs.sparkSession
+    path = scratch_path(spark, "class_scores")
+    with scratch_scope(spark):
+        texts = scratch_path(spark, "coded_texts")
+        code(docs, held_out).write.option("compression", "zstd").parquet(texts)
+        score(fit(spark.read.parquet(texts), n_classes, rounds)).write.parquet(path)
+    return spark.read.parquet(path)
 
 
 def held_out(doc: str = "doc_id", folds: int = 7, fold: int = 2) -> Column:

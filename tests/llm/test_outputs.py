@@ -167,6 +167,56 @@ def test_probabilities_sum_to_one(spark):
     assert model.transitions.sum() == model.n_tokens == 15
 
 
+def plain_scores(texts, held, words, classes, k):
+    """log10 probabilities from the definition, given the classes of words and items."""
+    class_of = lambda w: 0 if w is None else words[w]["class"] if w in words else int(classes[class_lm.tail_of(w)])
+    paths = [[None, *(t or "").lower().split(), None] for t in texts]
+    trained = [p for p, h in zip(paths, held) if not h]
+    # The end before the first text is one more than there are texts; steps are between texts too.
+    stream = [None, *(w for p in trained for w in p[1:])]
+    counts, steps = collections.Counter(stream[1:]), np.zeros((k, k))
+    for a, b in zip(stream, stream[1:]):
+        steps[class_of(a), class_of(b)] += 1
+    tokens = [sum(n for w, n in counts.items() if class_of(w) == c) for c in range(k)]
+    kinds = [sum(class_of(w) == c for w in counts) for c in range(k)]
+
+    def of(a, b):
+        g, h = class_of(a), class_of(b)
+        step = (steps[g, h] + class_lm.SMOOTH_CLASS) / (steps[g].sum() + class_lm.SMOOTH_CLASS * k)
+        return math.log10(step * (counts[b] + class_lm.SMOOTH_WORD) / (tokens[h] + class_lm.SMOOTH_WORD * (kinds[h] + 1)))
+
+    return [sum(of(a, b) for a, b in zip(p, p[1:])) for p in paths]
+
+
+def test_scores_equal_their_definition(spark, monkeypatch):
+    """Many chunks, words over several batches, counts of over 255, unseen words, and words of their own classes."""
+    monkeypatch.setattr(class_lm, "CORE_SHARE", 40)
+    monkeypatch.setattr(class_lm, "CHUNK_BYTES", 600)
+    monkeypatch.setattr(class_lm, "SLICE_WORDS", 7)
+    monkeypatch.setattr(class_lm, "HELD_PLACES", 20)
+    rng = np.random.default_rng(3)
+    vocabulary = [a + b + c for a in "klm" for b in "aeiou" for c in ("", "st", "ng", "ts", "xt")]
+    texts = [" ".join(rng.choice(vocabulary, size=rng.integers(0, 60))) for _ in range(120)]
+    texts += [" ".join(["again", "and"] * 900), None, "", "unseen words only here", "kast Kast KAST " * 5]
+    docs = odd.docs(spark, [odd._row(i, t) for i, t in enumerate(texts)])
+    coded = class_lm.code(docs.repartition(4), class_lm.held_out()).cache()
+    model = class_lm.fit(coded, n_classes=6)
+    words = {w.word: w for w in model.words.collect()}
+    held = [zlib.crc32(str(i).encode()) % 7 == 2 for i in range(len(texts))]
+    counts = collections.Counter(w for t, h in zip(texts, held) if not h for w in (t or "").lower().split())
+    assert {w: r.c for w, r in words.items()} == counts
+    found = [r.score for r in class_lm.score(model).orderBy("doc_id").collect()]
+    assert found == pytest.approx(plain_scores(texts, held, words, model.classes, 6), rel=1e-9)
+
+
+def test_cells_come_back_whole():
+    data = pa.array([b"", bytes([1, 0, 255, 1, 0, 45]), b"", bytes([2, 1, 7])], pa.binary())
+    cells, sizes = class_lm.cells_of(data.slice(1))
+    assert sizes.tolist() == [2, 0, 1] and cells.tolist() == [(1, 255), (1, 45), (258, 7)]
+    cells, sizes = class_lm.cells_of(data.slice(0, 1))
+    assert sizes.tolist() == [0] and len(cells) == 0
+
+
 def test_gains_are_changes_of_the_likelihood():
     rng = np.random.default_rng(1)
     n, classes = rng.integers(0, 30, (12, 12)).astype(float), rng.integers(0, 4, 12)
