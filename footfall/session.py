@@ -83,10 +83,14 @@ def scratch_scope(spark: SparkSession) -> Iterator[None]:
         yield
     finally:
         _scopes.reset(token)
-        jvm = spark.sparkContext._jvm
         for path in paths:
-            folder = jvm.org.apache.hadoop.fs.Path(path)
-            folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
+            discard(spark, path)
+
+
+def discard(spark: SparkSession, path: str) -> None:
+    """Delete a scratch table that nothing reads any more."""
+    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
 
 
 def materialise(table: DataFrame, name: str) -> DataFrame:
