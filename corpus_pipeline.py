@@ -11,7 +11,7 @@ from footfall.llm.decontaminate import decontaminated
 from footfall.llm.mixing import mixed
 from footfall.llm.simhash_dedup import deduplicated
 from footfall.llm.text import packed, table
-from footfall.session import materialise
+from footfall.session import discard, scratch_path, scratch_scope
 
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -54,7 +54,17 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents")
+    """Rows of the last stage. What a stage made on its way, and the table it read, are deleted once its own is written.
+
+    Repeated rows, nulls, empty and very long texts are each stage's; an empty table gives an empty result; of the
+    columns beside those of `documents`, stages keep what they are given.
+    """
+    docs, before = table(spark, sf_dir, "documents"), None
     for name, stage in STAGES[:-1]:
-        docs = materialise(stage(spark, docs, sf_dir), name.replace(" ", "_"))
+        path = scratch_path(spark, name.replace(" ", "_"))
+        with scratch_scope(spark):
+            stage(spark, docs, sf_dir).write.parquet(path)
+        if before:
+            discard(spark, before)
+        docs, before = spark.read.parquet(path), path
     return STAGES[-1][1](spark, docs, sf_dir)

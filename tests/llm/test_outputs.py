@@ -2,6 +2,7 @@
 
 import collections
 import math
+import pathlib
 import zlib
 
 import duckdb
@@ -419,6 +420,9 @@ def test_pipeline(spark, whole):
     last = stages["token output"](spark, found, SF).orderBy("start").collect()
     assert [tuple(r) for r in last] == plain_index(whole, rows)
     assert corpus_pipeline.run(spark, SF).count() == len(rows)
+    left = {p.name.rpartition("-")[0] for p in pathlib.Path(spark.conf.get("spark.checkpoint.dir")).iterdir()}
+    assert "mixing_to_target_weights" in left  # what the result reads
+    assert not left & {"language_id", "simhash_near-dedup", "benchmark_decontamination"}
 
 
 def test_pipeline_of_odd_rows(spark, tmp_path):
