@@ -13,7 +13,8 @@ sets that are similar enough share a shingle of their prefixes, so that only set
   the components these links make, it gives every pair that passes the filters, was not verified and has its sides in
   different components. A pair inside a component can't change the classes, all others are verified.
 * Postings of over GROUP sets are cut by a hash in parts, and in the second round all pairs of parts meet, each
-  in a group of its own. No task holds more than two parts.
+  in a group of its own. No task holds more than two parts. Sets whose pairs all lie in two parts are in no tree; they
+  are read for the second round.
 """
 
 from __future__ import annotations
@@ -514,16 +515,22 @@ def linked(docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT, text: s
     posts = groups.drop("n").join(members, ["d0", "d1"]).join(long, ["k0", "k1"], "left")
     posts = materialise(posts.select("k0", "k1", "uid", "n", "at", "sketch", _parts(F.col("count")).alias("parts")), "sketched_postings")
     tried = materialise(_tree_pairs(posts, percent), "tree_pairs")
-    # A set with any pair that passes the filters is in a tree.
-    paired = materialise(tried.select(F.explode(F.array("a", "b")).alias("uid")).distinct().join(members.select("uid", "d0", "d1"), "uid"), "paired")
+    ends = lambda pairs: pairs.select(F.explode(F.array("a", "b")).alias("uid")).distinct()
+    paired = materialise(ends(tried).join(members.select("uid", "d0", "d1"), "uid"), "paired")
     sets = materialise(wanted_sets(docs, paired, size, text), "sets")
     drop_finished_shuffles(spark)
 
     first = materialise(verified(tried, sets, percent), "tree_links")
     drop_finished_shuffles(spark)
     roots = components(first, "first_components")
-    rest = _open_pairs(posts.join(paired.select("uid"), "uid"), roots, percent).join(tried, ["a", "b"], "left_anti")
-    second = materialise(verified(materialise(rest, "open_pairs"), sets, percent), "open_links")
+    # A set with any pair that passes the filters is in a tree, but for postings in parts: there the pair may lie in two.
+    near = posts.filter("parts = 1").join(paired.select("uid"), "uid").unionByName(posts.filter("parts > 1"))
+    rest = materialise(_open_pairs(near, roots, percent).join(tried, ["a", "b"], "left_anti"), "open_pairs")
+    late = ends(rest).join(paired, "uid", "left_anti").join(members.select("uid", "d0", "d1"), "uid")
+    late = materialise(late, "paired_late")
+    if not late.isEmpty():
+        sets = sets.unionByName(materialise(wanted_sets(docs, late, size, text), "sets_late"))
+    second = materialise(verified(rest, sets, percent), "open_links")
     drop_finished_shuffles(spark)
     roots = components(first.unionByName(second), "components")
 

@@ -4,6 +4,7 @@ import random
 
 import numpy as np
 import odd
+import pyarrow as pa
 import pytest
 
 import compare
@@ -88,6 +89,21 @@ def test_long_postings_are_cut(spark, monkeypatch):
     assert found(spark.createDataFrame(rows, "doc_id long, text string")) == brute(rows)
 
 
+def test_pairs_across_the_parts_of_a_posting(spark, monkeypatch):
+    """Pairs that share one posting alone, a long one, and are similar to nothing else in it."""
+    monkeypatch.setattr(ngram_join, "GROUP", 9)
+    # By hash alone: the passage all texts begin with is the first shingle of each.
+    monkeypatch.setattr(ngram_join, "rarity", lambda counts: np.zeros(1 << ngram_join.BUCKET_BITS, np.uint64))
+    passages = [f"a b c d{i}" for i in range(4000)]
+    hashes, _ = ngram_join.shingle_sets(pa.array(passages))
+    passage, texts = passages[int(np.argmin(hashes))], []
+    for i in range(60):
+        one = f"{passage} " + " ".join(f"u{i}x{j}" for j in range(5))
+        texts += [one, f"{one} more{i}"]
+    rows = list(enumerate(texts))
+    assert found(spark.createDataFrame(rows, "doc_id long, text string")) == brute(rows)
+
+
 def test_odd_rows(spark):
     rows = [(r[0], r[1]) for r in odd.ROWS]
     assert found(odd.docs(spark)) == brute(rows)
