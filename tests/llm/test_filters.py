@@ -287,6 +287,27 @@ def test_large_group_of_variants(spark):
     assert found == plain_lines([r[:2] for r in rows])
 
 
+def test_variants_that_are_not_similar_make_no_pairs(spark, monkeypatch):
+    """Lines of one passage, each with three words of its own: all share shingles, hardly any are similar."""
+    rng = np.random.default_rng(5)
+    base = [f"w{i}" for i in range(60)]
+    rows = []
+    for i in range(80):
+        own = set(rng.choice(60, 3, replace=False).tolist())
+        rows.append((i, " ".join(f"x{i}_{j}" if j in own else w for j, w in enumerate(base))))
+    made, verified = [], line_dedup.verified
+
+    def counted(pairs, *args):
+        made.append(pairs.count())
+        return verified(pairs, *args)
+
+    monkeypatch.setattr(line_dedup, "verified", counted)
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    found = [(r.doc_id, r.n_equal, r.n_near, r.removed) for r in line_dedup.line_counts(docs).orderBy("doc_id").collect()]
+    assert found == plain_lines(rows)
+    assert sum(made) < len(rows)
+
+
 def test_lines_of_odd_rows(spark):
     found = line_dedup.line_counts(odd.docs(spark)).collect()
     assert len(found) == len(odd.ROWS)
