@@ -37,33 +37,43 @@ BLOCKS = 32
 SMOOTH_CLASS = 0.5
 SMOOTH_WORD = 0.5
 CHUNK_BYTES = 16 << 20
+PIECE_WORDS = 1 << 18  # words of a chunk that one step works on
 END = 0  # the item and the class of the end of a text
+#: How chunk rows are written. A page or a group of rows ends when it is full, not after a hundred rows of some megabytes;
+#: this compression needs no memory outside the heap for whole pages, two for each open file.
+LARGE_ROWS = {
+    "compression": "zstd",
+    "parquet.block.size": str(16 << 20),
+    "parquet.block.size.row.check.min": "1",
+    "parquet.page.size.row.check.min": "1",
+}
 
 
 def code(docs: DataFrame, held_out: Column) -> DataFrame:
-    """Chunk rows: words and their training counts; ids, marks, lengths and codes of the chunk's texts."""
+    """Chunk rows: words and their training counts; ids, marks, lengths and codes of the chunk's texts, compressed."""
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        n = 0
+    def chunk(part: pa.RecordBatch, n: int) -> pa.RecordBatch:
         one = lambda x: pa.ListArray.from_arrays(pa.array([0, len(x)], pa.int32()), x)
-        for part in gathered(batches, limit=CHUNK_BYTES):
-            words, counts = split_words(part.column("text"))
-            codes, different = encoded(words)
-            held = np.asarray(part.column("held_out"))
-            train = np.repeat(~held, counts)
-            n_train = np.bincount(codes[train], minlength=len(different)).astype(np.int64)
-            yield pa.RecordBatch.from_pydict(
-                {
-                    "chunk": pa.array([(TaskContext.get().partitionId() << 32) + n], pa.int64()),
-                    "words": one(different.cast(pa.string())),
-                    "n_train": one(pa.array(n_train)),
-                    "doc_ids": one(part.column("doc_id")),
-                    "held": one(part.column("held_out")),
-                    "lengths": one(pa.array(counts)),
-                    "codes": pa.array([codes.astype("<i4").tobytes()], pa.binary()),
-                }
-            )
-            n += 1
+        words, counts = split_words(part.column("text"))
+        codes, different = encoded(words)
+        del words
+        held = np.asarray(part.column("held_out"))
+        n_train = np.bincount(codes[np.repeat(~held, counts)], minlength=len(different)).astype(np.int64)
+        return pa.RecordBatch.from_pydict(
+            {
+                "chunk": pa.array([(TaskContext.get().partitionId() << 32) + n], pa.int64()),
+                "words": one(different.cast(pa.string())),
+                "n_train": one(pa.array(n_train)),
+                "doc_ids": one(part.column("doc_id")),
+                "held": one(part.column("held_out")),
+                "lengths": one(pa.array(counts)),
+                "codes": pa.array([pa.compress(codes.astype("<i4"), "zstd", asbytes=True)], pa.binary()),
+            }
+        )
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for n, part in enumerate(gathered(batches, limit=CHUNK_BYTES)):
+            yield chunk(part, n)
 
     kind = dict(docs.dtypes)["doc_id"]
     rows = in_batches(docs).select("doc_id", "text", held_out.alias("held_out"))
@@ -85,28 +95,51 @@ def tail_of(word: str) -> int:
 def with_ends(values: np.ndarray, lengths: np.ndarray, end) -> np.ndarray:
     """Each text's values with an end before the first text and after every text."""
     stops = np.cumsum(lengths)
-    return np.concatenate([[end], np.insert(values, stops, end)]) if len(lengths) else np.array([end])
+    return np.concatenate([np.array([end], values.dtype), np.insert(values, stops, end)])
+
+
+def pieces(lengths: np.ndarray, most: int) -> Iterator[tuple[slice, slice]]:
+    """Texts of a chunk and their words, in runs of up to `most` words or one text that has more."""
+    ends, start = np.cumsum(lengths), 0
+    while start < len(lengths):
+        before = int(ends[start - 1]) if start else 0
+        stop = max(start + 1, int(np.searchsorted(ends, before + most, side="right")))
+        yield slice(start, stop), slice(before, int(ends[stop - 1]))
+        start = stop
+
+
+def texts_of(batch: pa.RecordBatch, i: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Lengths and marks of a chunk's texts, true for training, and codes of their words."""
+    lengths = np.asarray(batch.column("lengths")[i].values, dtype=np.int64)
+    train = ~np.array(batch.column("held")[i].as_py(), bool)
+    codes = pa.decompress(batch.column("codes")[i].as_buffer(), int(lengths.sum()) * 4, "zstd")
+    return lengths, train, np.frombuffer(codes, "<i4")
+
+
+def items_of(words: pa.Array, core: dict[str, int]) -> np.ndarray:
+    parts = (words.slice(first, SLICE_WORDS).to_pylist() for first in range(0, len(words), SLICE_WORDS))
+    return np.concatenate([np.zeros(0, np.int32), *(np.array([core.get(w) or tail_of(w) for w in part], np.int32) for part in parts)])
 
 
 def item_pairs(coded: DataFrame, core: dict[str, int], n_items: int) -> DataFrame:
     """(a, b, n): how often item b follows item a in training texts, an end before and after each text."""
     sent = coded.sparkSession.sparkContext.broadcast(core)  # at most CORE_SHARE words
+    kind = np.int32 if n_items**2 < 1 << 31 else np.int64
+
+    def of_chunk(items: np.ndarray, lengths: np.ndarray, train: np.ndarray, codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        path = with_ends(items.astype(kind)[codes[np.repeat(train, lengths)]], lengths[train], END)
+        return np.unique(path[:-1] * n_items + path[1:], return_counts=True)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = sent.value
         for batch in batches:
             for i in range(len(batch)):
-                items = np.array([known.get(w) or tail_of(w) for w in batch.column("words")[i].as_py()], np.int64)
-                lengths = np.array(batch.column("lengths")[i].as_py(), np.int64)
-                train = ~np.array(batch.column("held")[i].as_py(), bool)
-                codes = np.frombuffer(batch.column("codes")[i].as_py(), "<i4")
-                own = items[codes[np.repeat(train, lengths)]] if len(codes) else np.zeros(0, np.int64)
-                path = with_ends(own, lengths[train], END).astype(np.int64)
-                pairs, n = np.unique(path[:-1] * n_items + path[1:], return_counts=True)
+                pairs, n = of_chunk(items_of(batch.column("words")[i].values, known), *texts_of(batch, i))
                 yield pa.RecordBatch.from_arrays(
                     [pa.array((pairs // n_items).astype(np.int32)), pa.array((pairs % n_items).astype(np.int32)), pa.array(n.astype(np.int64))],
                     ["a", "b", "n"],
                 )
+            give_back()
 
     found = coded.select("words", "held", "lengths", "codes").mapInArrow(run, "a int, b int, n long")
     return found.groupBy("a", "b").agg(F.sum("n").alias("n"))
@@ -299,46 +332,48 @@ def word_contexts(coded: DataFrame, core: dict[str, int], classes: np.ndarray, n
     sent = coded.sparkSession.sparkContext.broadcast(core)  # at most CORE_SHARE words
     width = 2 * n_classes + 1
 
+    def of_chunk(batch: pa.RecordBatch, i: int) -> Iterator[pa.RecordBatch]:
+        words, chunk, n_train = batch.column("words")[i].values, batch.column("chunk")[i].as_py(), batch.column("n_train")[i].values
+        items = np.append(items_of(words, sent.value), np.int32(END))
+        lengths, train, codes = texts_of(batch, i)
+        path = with_ends(codes[np.repeat(train, lengths)], lengths[train], len(items) - 1)
+        shared, word_class = (items != END) & (items <= TAILS), classes[items].astype(np.int32)
+        x, y, first = path[:-1], path[1:], 0
+        tokens = np.cumsum(np.where(shared[:-1], np.asarray(n_train), 0))  # of the words that have contexts
+        while first < len(words):
+            most = int(np.searchsorted(tokens, (tokens[first - 1] if first else 0) + PIECE_WORDS, side="right"))
+            stop = min(max(first + 1, most), first + SLICE_WORDS, len(words))
+            inside = shared.copy()
+            inside[:first], inside[stop:] = False, False
+            after, before = inside[x], inside[y]
+            own, other = x[after] - first, y[before] - first
+            twice = own[own + first == y[after]]
+            keys = np.concatenate(
+                [own * width + word_class[y[after]], other * width + n_classes + word_class[x[before]], twice * width + 2 * n_classes]
+            )
+            keys, n = np.unique(keys, return_counts=True)
+            times = (n + 254) // 255
+            cells = np.empty(int(times.sum()), CELL)
+            cells["cell"], cells["n"] = np.repeat(keys % width, times), 255
+            cells["n"][np.cumsum(times) - 1] = n - 255 * (times - 1)
+            ends = np.searchsorted(np.repeat(keys // width, times), np.arange(stop - first + 1))
+            offsets = (ends * CELL.itemsize).astype(np.int32)
+            yield pa.RecordBatch.from_arrays(
+                [
+                    words.slice(first, stop - first),
+                    pa.array(np.full(stop - first, chunk, np.int64)),
+                    pa.array(np.arange(first, stop, dtype=np.int32)),
+                    n_train.slice(first, stop - first),
+                    pa.BinaryArray.from_buffers(pa.binary(), stop - first, [None, pa.py_buffer(offsets), pa.py_buffer(cells.tobytes())]),
+                ],
+                ["word", "chunk", "at", "n", "cells"],
+            )
+            first = stop
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = sent.value
         for batch in batches:
             for i in range(len(batch)):
-                words, chunk = batch.column("words")[i].values, batch.column("chunk")[i].as_py()
-                items = [known.get(w) or tail_of(w) for w in words.to_pylist()]
-                kind = np.int32 if (len(items) + 1) * width < 1 << 31 else np.int64
-                items = np.append(np.array(items, kind), END).astype(kind)
-                lengths = np.array(batch.column("lengths")[i].as_py(), np.int64)
-                train = ~np.array(batch.column("held")[i].as_py(), bool)
-                codes = np.frombuffer(batch.column("codes")[i].as_py(), "<i4")
-                path = with_ends(codes[np.repeat(train, lengths)], lengths[train], len(items) - 1).astype(kind)
-                shared, word_class = (items != END) & (items <= TAILS), classes[items].astype(kind)
-                x, y = path[:-1], path[1:]
-                after, before = shared[x], shared[y]
-                twice = x[after & (x == y)]
-                keys = np.concatenate(
-                    [x[after] * width + word_class[y[after]], y[before] * width + n_classes + word_class[x[before]], twice * width + 2 * n_classes]
-                )
-                keys, n = np.unique(keys, return_counts=True)
-                times = (n + 254) // 255
-                cells = np.empty(int(times.sum()), CELL)
-                cells["cell"], cells["n"] = np.repeat(keys % width, times), 255
-                cells["n"][np.cumsum(times) - 1] = n - 255 * (times - 1)
-                ends = np.searchsorted(np.repeat(keys // width, times), np.arange(len(words) + 1))
-                n_train = batch.column("n_train")[i].values
-                for first in range(0, len(words), SLICE_WORDS):
-                    stop = min(first + SLICE_WORDS, len(words))
-                    offsets = ((ends[first : stop + 1] - ends[first]) * CELL.itemsize).astype(np.int32)
-                    data = cells[ends[first] : ends[stop]].tobytes()
-                    yield pa.RecordBatch.from_arrays(
-                        [
-                            words.slice(first, stop - first),
-                            pa.array(np.full(stop - first, chunk, np.int64)),
-                            pa.array(np.arange(first, stop, dtype=np.int32)),
-                            n_train.slice(first, stop - first),
-                            pa.BinaryArray.from_buffers(pa.binary(), stop - first, [None, pa.py_buffer(offsets), pa.py_buffer(data)]),
-                        ],
-                        ["word", "chunk", "at", "n", "cells"],
-                    )
+                yield from of_chunk(batch, i)
             give_back()
 
     rows = coded.select("chunk", "words", "n_train", "held", "lengths", "codes")
@@ -481,11 +516,12 @@ def class_bigrams(chunks: DataFrame, n_classes: int) -> np.ndarray:
         for batch in batches:
             for i in range(len(batch)):
                 _, word_class = entries_of(batch.column("entries")[i])
-                lengths = np.array(batch.column("lengths")[i].as_py(), np.int64)
-                train = ~np.array(batch.column("held")[i].as_py(), bool)
-                codes = np.frombuffer(batch.column("codes")[i].as_py(), "<i4")
-                path = with_ends(word_class[codes[np.repeat(train, lengths)]], lengths[train], END).astype(np.int64)
-                total += np.bincount(path[:-1] * n_classes + path[1:], minlength=len(total))
+                lengths, train, codes = texts_of(batch, i)
+                for texts, own in pieces(lengths, PIECE_WORDS):
+                    n, marks = lengths[texts], train[texts]
+                    path = with_ends(word_class[codes[own][np.repeat(marks, n)]], n[marks], END)
+                    total += np.bincount(path[:-1] * n_classes + path[1:], minlength=len(total))
+        give_back()
         cells = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(cells, pa.int64()), pa.array(total[cells])], ["cell", "n"])
 
@@ -530,7 +566,7 @@ def fit(coded: DataFrame, n_classes: int = CLASSES, rounds: int | None = None) -
     classes = exchange(packed, order, n_classes, rounds)
     drop_finished_shuffles(spark)
     contexts_of = word_contexts(coded, core, classes, n_classes)
-    back = materialise(placed(contexts_of, core, classes, class_table(packed, classes, n_classes)), "word_places")
+    back = materialise(placed(contexts_of, core, classes, class_table(packed, classes, n_classes)), "word_places", LARGE_ROWS)
     drop_finished_shuffles(spark)
     training = F.explode(F.arrays_zip("word", "c", "item", "class")).alias("w")
     words = back.filter("chunk is null").select(training).select("w.*")
@@ -539,7 +575,7 @@ def fit(coded: DataFrame, n_classes: int = CLASSES, rounds: int | None = None) -
     tokens[END], different[END] = ends, float(ends > 0)
     for r in by_class:
         tokens[r["class"]], different[r["class"]] = r.n, r.v
-    chunks = materialise(looked_up(coded, back), "word_classes")
+    chunks = materialise(looked_up(coded, back), "word_classes", LARGE_ROWS)
     drop_finished_shuffles(spark)
     transitions, n_words = class_bigrams(chunks, n_classes), int(different.sum())
     return Model(transitions, classes, tokens, different, n_tokens, n_words, ends, words, chunks)
@@ -556,32 +592,38 @@ def score(model: Model) -> DataFrame:
     base_room = np.log10(model.n_tokens + model.n_words + 1)
     ends, n_tokens = model.n_ends, model.n_tokens
 
+    def of_chunk(batch: pa.RecordBatch, i: int) -> Iterator[pa.RecordBatch]:
+        c, word_class = entries_of(batch.column("entries")[i])
+        all_lengths, _, all_codes = texts_of(batch, i)
+        doc_ids, held = batch.column("doc_ids")[i].values, batch.column("held")[i].values
+        c, emitted = np.append(c, ends), np.append(np.log10(c + SMOOTH_WORD) - room[word_class], np.log10(ends + SMOOTH_WORD) - room[END])
+        word_class = np.append(word_class, END)
+        for texts, own in pieces(all_lengths, PIECE_WORDS):
+            lengths = all_lengths[texts]
+            path = with_ends(all_codes[own], lengths, len(c) - 1)
+            path_class = word_class[path]
+            token = path[1:]
+            stops = np.cumsum(lengths + 1)
+            starts = stops - lengths - 1
+            total = lambda x: np.add.reduceat(x, starts)  # noqa: E731, B023
+            yield pa.RecordBatch.from_arrays(
+                [
+                    doc_ids[texts],
+                    held[texts],
+                    pa.array(lengths + 1),
+                    pa.array(total((c[token] > 0).astype(np.int64)).astype(np.int64)),
+                    pa.array(np.full(len(lengths), n_tokens, np.int64)),
+                    pa.array(total(np.log10(c[token] + 1) - base_room)),
+                    pa.array(total(steps_[path_class[:-1], path_class[1:]] + emitted[token])),
+                ],
+                ["doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"],
+            )
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for i in range(len(batch)):
-                c, word_class = entries_of(batch.column("entries")[i])
-                lengths = np.array(batch.column("lengths")[i].as_py(), np.int64)
-                codes = np.frombuffer(batch.column("codes")[i].as_py(), "<i4")
-                c, emitted = np.append(c, ends), np.append(np.log10(c + SMOOTH_WORD) - room[word_class], np.log10(ends + SMOOTH_WORD) - room[END])
-                word_class = np.append(word_class, END)
-                path = with_ends(codes, lengths, len(c) - 1)
-                path_class = word_class[path]
-                token = path[1:]
-                stops = np.cumsum(lengths + 1)
-                starts = stops - lengths - 1
-                total = lambda x: np.add.reduceat(x, starts) if len(starts) else np.zeros(0)  # noqa: E731, B023
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        batch.column("doc_ids")[i].values,
-                        batch.column("held")[i].values,
-                        pa.array(lengths + 1),
-                        pa.array(total((c[token] > 0).astype(np.int64)).astype(np.int64)),
-                        pa.array(np.full(len(lengths), n_tokens, np.int64)),
-                        pa.array(total(np.log10(c[token] + 1) - base_room)),
-                        pa.array(total(steps_[path_class[:-1], path_class[1:]] + emitted[token])),
-                    ],
-                    ["doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"],
-                )
+                yield from of_chunk(batch, i)
+            give_back()
 
     kind = dict(model.chunks.dtypes)["doc_ids"].removeprefix("array<")[:-1]
     return model.chunks.mapInArrow(
@@ -599,9 +641,8 @@ def score_documents(docs: DataFrame, held_out: Column, n_classes: int = CLASSES,
     spark = docs.sparkSession
     path = scratch_path(spark, "class_scores")
     with scratch_scope(spark):
-        texts = scratch_path(spark, "coded_texts")
-        code(docs, held_out).write.option("compression", "zstd").parquet(texts)
-        score(fit(spark.read.parquet(texts), n_classes, rounds)).write.parquet(path)
+        coded = materialise(code(docs, held_out), "coded_texts", LARGE_ROWS)
+        score(fit(coded, n_classes, rounds)).write.parquet(path)
     return spark.read.parquet(path)
 
 

@@ -9,6 +9,7 @@ import duckdb
 import numpy as np
 import odd
 import pyarrow as pa
+import pyarrow.parquet as pq
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -210,6 +211,35 @@ def test_scores_equal_their_definition(spark, monkeypatch):
     assert found == pytest.approx(plain_scores(texts, held, words, model.classes, 6), rel=1e-9)
 
 
+def test_chunks_are_worked_on_in_pieces(spark, monkeypatch):
+    """Steps of few words give the rows of whole chunks; chunk rows are small and their pages need no buffers outside the heap."""
+    rng = np.random.default_rng(8)
+    vocabulary = [a + b + c for a in "klm" for b in "aeiou" for c in ("", "st", "ng")]
+    texts = [" ".join(rng.choice(vocabulary, size=rng.integers(0, 60))) for _ in range(90)] + ["again and " * 300, None, ""]
+    docs = odd.docs(spark, [odd._row(i, t) for i, t in enumerate(texts)])
+    monkeypatch.setattr(class_lm, "CORE_SHARE", 40)
+    coded = class_lm.code(docs.repartition(3), class_lm.held_out()).cache()
+    for r in coded.collect():
+        assert len(r.codes) < 4 * sum(r.lengths)
+    found = []
+    for most in (1 << 18, 50):
+        monkeypatch.setattr(class_lm, "PIECE_WORDS", most)
+        model = class_lm.fit(coded, n_classes=5, rounds=3)
+        found.append([tuple(r) for r in class_lm.score(model).orderBy("doc_id").collect()])
+    assert found[0] == found[1] and len(found[0]) == len(texts)
+    for t in (model.chunks, model.words):
+        for path in t.inputFiles():
+            meta = pq.ParquetFile(path.removeprefix("file:")).metadata
+            groups = [meta.row_group(g) for g in range(meta.num_row_groups)]
+            assert {g.column(c).compression for g in groups for c in range(meta.num_columns)} <= {"ZSTD"}
+
+
+def test_pieces_of_texts():
+    found = list(class_lm.pieces(np.array([3, 0, 5, 20, 1, 0]), 8))
+    assert found == [(slice(0, 3), slice(0, 8)), (slice(3, 4), slice(8, 28)), (slice(4, 6), slice(28, 29))]
+    assert list(class_lm.pieces(np.zeros(0, np.int64), 8)) == []
+
+
 def test_cells_come_back_whole():
     data = pa.array([b"", bytes([1, 0, 255, 1, 0, 45]), b"", bytes([2, 1, 7])], pa.binary())
     cells, sizes = class_lm.cells_of(data.slice(1))
