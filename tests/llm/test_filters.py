@@ -2,6 +2,7 @@
 
 import collections
 import hashlib
+import math
 
 import numpy as np
 import odd
@@ -9,6 +10,7 @@ import pytest
 import xxhash
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
 from footfall.llm import decontaminate, language_id, line_dedup, secret_scan, simhash_dedup
 from footfall.llm import catalog
@@ -308,6 +310,24 @@ def test_variants_that_are_not_similar_make_no_pairs(spark, monkeypatch):
     assert sum(made) < len(rows)
 
 
+def test_rarity_counts_every_line(spark, monkeypatch):
+    """The class of a passage is that of all lines that have it."""
+    passage = "a passage that lines share"
+    rows = [(i, f"w{i} {passage} x{i}\n\nanother line v{i}") for i in range(40)]
+    seen, rarity = [], line_dedup.rarity
+
+    def watched(lines, *args):
+        seen.append((lines.count(), rarity(lines, *args)))
+        return seen[-1][1]
+
+    monkeypatch.setattr(line_dedup, "rarity", watched)
+    assert line_dedup.line_counts(spark.createDataFrame(rows, "doc_id long, text string")).count() == 40
+    ((n, classes),) = seen
+    shingle = line_dedup.hashed(F.array(*[F.lit(w) for w in passage.split()]), F.lit(1), line_dedup.SHINGLE)
+    upper = spark.range(1).select(F.get(classes, line_dedup._bucket(shingle))).first()[0]
+    assert n == 80 and upper >> (63 - line_dedup.CLASS_BITS) == int(2 * math.log2(40))
+
+
 def test_lines_of_odd_rows(spark):
     found = line_dedup.line_counts(odd.docs(spark)).collect()
     assert len(found) == len(odd.ROWS)
